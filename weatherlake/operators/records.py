@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weatherlake.functions.joins import join_null_safe
+
 CITY_KEYS = ("city", "country", "country_code", "latitude", "longitude")
 DAILY_MEASURES = ("temp_max", "temp_min", "wind_max", "precipitation")
 # Daily column -> array it comes from.
@@ -76,12 +78,11 @@ def climate_records_by_join(daily: DataFrame) -> DataFrame:
         ("temp_min", "coldest_temp", "coldest_day"),
         ("wind_max", "strongest_wind", "windiest_day"),
     ):
-        reached = clean.join(extremes.select(*CITY_KEYS, extreme), list(CITY_KEYS)).filter(
+        reached = join_null_safe(clean, extremes.select(*CITY_KEYS, extreme), CITY_KEYS).filter(
             F.col(measure) == F.col(extreme)
         )
-        result = result.join(
-            reached.groupBy(*CITY_KEYS).agg(F.min("date").alias(day)), list(CITY_KEYS), "left"
-        )
+        first_day = reached.groupBy(*CITY_KEYS).agg(F.min("date").alias(day))
+        result = join_null_safe(result, first_day, CITY_KEYS, "left")
     return result
 
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weatherlake.constants import RIDE_TIME_FORMAT
+from weatherlake.functions.joins import join_null_safe
 from weatherlake.functions.text import truth
 from weatherlake.functions.times import minutes_between, parse_time
 from weatherlake.operators.reports import sorted_by
@@ -26,6 +27,8 @@ HOT_ROWS = 5_000_000
 CHUNK_ROWS = 2_000_000
 # An id is never hot below this share of the table, so there are at most this many.
 MAX_HOT_IDS = 10_000
+# Chunk edges are a few dozen bytes each; beyond this many they are joined by shuffle.
+BROADCAST_ROWS = 500_000
 TIE_SEED = 29
 
 STATE = "sur_velo_bool"
@@ -65,24 +68,22 @@ def _hot_ids(rides: DataFrame, hot_rows: int) -> list[tuple]:
 
 def _number_in_chunks(rides: DataFrame, tie: Sequence[str], chunks: int) -> DataFrame:
     checkpoint_root(rides.sparkSession)
-    # The random last key lets identical rows spread over chunks.  The checkpoint pins the
-    # chunk of every row: it is read twice below and must survive a lost executor.
     order = ["date", *tie, STATE, "_tie"]
-    chunked = (
-        rides.withColumn("_tie", F.rand(TIE_SEED))
-        .repartitionByRange(chunks, "id", *order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint()
-    )
     group = ["_chunk", "id"]
     in_order = Window.partitionBy(*group).orderBy(*order)
     by_date = Window.partitionBy(*group).orderBy("date")
+    # The random last key lets identical rows spread over chunks.  The checkpoint pins the
+    # chunk of every row: it is read twice below and must survive a lost executor.
     local = (
-        chunked.withColumn("_first", F.row_number().over(in_order) == 1)
+        rides.withColumn("_tie", F.rand(TIE_SEED))
+        .repartitionByRange(chunks, "id", *order)
+        .withColumn("_chunk", F.spark_partition_id())
+        .withColumn("_first", F.row_number().over(in_order) == 1)
         .withColumn("_change", _changed(F.col(STATE), F.lag(STATE).over(in_order)))
         .withColumn("_start", _starts(F.col("_change")))
         .withColumn("_number", F.sum("_start").over(by_date))
         .withColumn("_min_date", F.first("date").over(in_order))
+        .checkpoint()
     )
 
     # One row per chunk and id: at most ``chunks`` + number of hot ids rows.
@@ -136,7 +137,9 @@ def _number_in_chunks(rides: DataFrame, tie: Sequence[str], chunks: int) -> Data
             "after",
         )
     )
-    numbered = local.join(carried, group).withColumns(
+    if chunks + MAX_HOT_IDS <= BROADCAST_ROWS:
+        carried = F.broadcast(carried)
+    numbered = join_null_safe(local, carried, group).withColumns(
         {
             "changement": F.when(F.col("_first"), F.col("head_change")).otherwise(F.col("_change")),
             "debut_trajet": F.when(F.col("_first"), F.col("head_start")).otherwise(F.col("_start")),

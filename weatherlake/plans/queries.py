@@ -407,7 +407,7 @@ def except_all(spark, sf_dir):
 
 @query
 def sample_1pct(spark, sf_dir):
-    return profile.sample_rows(adapters.table(spark, sf_dir, "customer"))
+    return profile.sample_rows(adapters.table(spark, sf_dir, "events"))
 
 
 @query
