@@ -192,6 +192,43 @@ def test_counters(spark, readings_folder, tmp_path):
     assert seen.get == {"n": 1}
 
 
+def test_untimed_readings_are_counted(spark, tmp_path):
+    folder = tmp_path / "in"
+    _put(folder, "a.txt", ['{"event_time": "x"}', '{"temperature": 1.0}', '{"event_time": "2025-01-01T10:00"}'])
+    listener = metrics.TotalsListener()
+    spark.streams.addListener(listener)
+    try:
+        aggregates = jobs.aggregates_stream(_stream(spark, folder))
+        assert _collect(spark, aggregates.writeStream.outputMode("complete")).count() == 5
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    assert dict(listener.totals["untimed"]) == {"untimed": 2}
+
+
+def test_local_times_shift_to_utc_on_request(spark):
+    rows = spark.createDataFrame([("2025-07-01T12:00", "Europe/Paris")], "event_time string, timezone string")
+    as_is, shifted = windows.with_event_timestamp(rows), windows.with_event_timestamp(rows, zone="timezone")
+    assert (as_is.first().event_timestamp.hour, shifted.first().event_timestamp.hour) == (12, 10)
+
+
+def test_run_until_stopped(spark, readings_folder):
+    classified = jobs.classified_stream(_stream(spark, readings_folder))
+    finite = jobs.start(spark, classified.writeStream.format("noop"), _name(), available_now=True)
+    endless = jobs.start(spark, classified.writeStream.format("noop"), _name(), every="1 second")
+    jobs.run_until_stopped(spark, finite, endless)
+    assert not finite.isActive and not endless.isActive
+
+
+def test_failed_query_raises(spark, readings_folder):
+    def fail(_batch):
+        raise ValueError("no room")
+
+    writer = jobs.shared_writer(jobs.classified_stream(_stream(spark, readings_folder)), jobs.show_batch(), fail)
+    with pytest.raises(Exception, match="no room"):
+        jobs.run_until_stopped(spark, jobs.start(spark, writer, _name()))
+
+
 def test_checkpoint_root_comes_from_the_session(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
 

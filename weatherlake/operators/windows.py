@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weatherlake.constants import LEVEL_1, LEVEL_2, SLIDING_STEP, SLIDING_WINDOW, TUMBLING_WINDOW
-from weatherlake.functions.times import parse_time
+from weatherlake.functions.times import local_to_utc, parse_time
 
 PLACE = ("latitude", "longitude")
 AVERAGED = ("temperature", "windspeed", "humidity")
@@ -32,11 +32,15 @@ AGGREGATE_COLUMNS = (
 )
 
 
-def with_event_timestamp(readings: DataFrame, time: str = "event_time") -> DataFrame:
-    """Text times parsed safely; columns that already are timestamps pass through."""
-    if readings.schema[time].dataType.typeName() == "string":
-        return readings.withColumn("event_timestamp", parse_time(time))
-    return readings.withColumn("event_timestamp", F.col(time))
+def with_event_timestamp(readings: DataFrame, time: str = "event_time", zone: str | None = None) -> DataFrame:
+    """Add ``event_timestamp``: text is parsed safely, timestamps pass through.
+
+    Producers write local wall-clock times.  They are taken as they are unless ``zone``
+    names the column with the reading's time zone, which shifts them to UTC.
+    """
+    is_text = readings.schema[time].dataType.typeName() == "string"
+    parsed = parse_time(time) if is_text else F.col(time)
+    return readings.withColumn("event_timestamp", local_to_utc(parsed, zone) if zone else parsed)
 
 
 def _reading_counters() -> list[Column]:

@@ -19,6 +19,11 @@ OPTIONS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Window state lives on disk beside the executor instead of in its heap, and is backed
+    # up to the checkpoint folder.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

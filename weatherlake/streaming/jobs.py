@@ -21,9 +21,10 @@ from weatherlake.operators.alerts import (
     high_wind_rows,
     transform_flat,
 )
-from weatherlake.operators.windows import sliding_aggregates_stream, with_computed_at
+from weatherlake.operators.windows import sliding_aggregates_stream, with_computed_at, with_event_timestamp
 from weatherlake.schemas import ENRICHED_READING, FLAT_READING, READING, TRANSFORMED
 from weatherlake.session import checkpoint_root
+from weatherlake.streaming.metrics import observe_untimed
 
 
 def classified_stream(messages: DataFrame, carry_geo: bool = False) -> DataFrame:
@@ -49,10 +50,17 @@ def aggregates_stream(
     slide: str = SLIDING_STEP,
     watermark: str | None = None,
     schema: StructType = TRANSFORMED,
+    zone: str | None = None,
 ) -> DataFrame:
-    """Classified reading messages to sliding aggregates stamped ``computed_at``."""
+    """Classified reading messages to sliding aggregates stamped ``computed_at``.
+
+    Readings without a usable event time fall into no window; every batch reports how many
+    under the observation ``untimed``.
+    """
     readings = accepted(decode_with_rejects(messages, schema))
-    return with_computed_at(sliding_aggregates_stream(readings, window, slide, watermark=watermark))
+    timed = observe_untimed(with_event_timestamp(readings, zone=zone))
+    aggregates = sliding_aggregates_stream(timed, window, slide, "event_timestamp", watermark)
+    return with_computed_at(aggregates)
 
 
 def high_wind_writer(transformed: DataFrame, path: str) -> DataStreamWriter:
@@ -118,11 +126,19 @@ def start(
 
 
 def run_until_stopped(spark: SparkSession, *queries: StreamingQuery) -> None:
-    """Wait until any query ends or the user interrupts, then stop the queries in order."""
+    """Wait until any of the queries ends or the user interrupts, then stop all in order.
+
+    A query that failed raises its error after the others are stopped.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        while all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination(10)
     except KeyboardInterrupt:
         pass
     finally:
         for query in queries:
             query.stop()
+    for query in queries:
+        if query.exception() is not None:
+            raise query.exception()
