@@ -121,7 +121,7 @@ def test_city_resolution(spark):
         [(7, "Rome", "Atlantis", 40.0), (8, "Nowhere", "X", 50.0)],
         "event_id int, requested_city string, requested_country string, latitude double",
     )
-    enriched = geo.enrich_readings(readings, geo.resolve_cities(candidates), list(geo.REQUEST))
+    enriched = geo.enrich_readings(readings, geo.resolve_cities(candidates), geo.REQUEST)
     assert tuples(enriched.select("event_id", "latitude", "city", "region", "population")) == [(7, 40.0, "Roma", "", 4)]
 
 

@@ -164,7 +164,7 @@ def test_stream_is_enriched_from_a_static_table(spark, tmp_path):
         "request string, city string, country string, country_code string, admin1 string, population long",
     )
     readings = _stream(spark, folder).withColumnRenamed("value", "request")
-    assert bag(_collect(spark, geo.enrich_readings(readings, places, "request").writeStream)) == [
+    assert bag(_collect(spark, geo.enrich_readings(readings, places, ["request"]).writeStream)) == [
         ("Paris", "Paris", "France", "FR", "IdF", 2)
     ]
 

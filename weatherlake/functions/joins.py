@@ -13,3 +13,17 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys])
     return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in keys])
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join of a large table with a table that has one row per key.
+
+    While the lookup's measured size allows it Spark broadcasts it.  Beyond that AQE splits
+    the shuffle partitions of hot keys, but only where both sides come straight from a
+    shuffle made for this join.  A lookup that was just grouped by the same keys would skip
+    that shuffle, and one task would get the hot key whole; the hash as a further key
+    keeps the shuffle (of the small side) in place.
+    """
+    probe = F.xxhash64(*keys)
+    joined = facts.withColumn("_probe", probe).join(lookup.withColumn("_probe", probe), [*keys, "_probe"])
+    return joined.drop("_probe")

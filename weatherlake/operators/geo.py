@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from weatherlake.functions.joins import lookup_join
 from weatherlake.functions.levels import or_default
 from weatherlake.functions.text import contains_ignoring_case
 from weatherlake.operators.alerts import required_fields_split
@@ -41,18 +44,17 @@ def resolve_requests(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     The candidates are reduced to one row per request before the join, so the join never
     multiplies rows.
     """
-    return requests.join(resolve_cities(candidates), list(REQUEST), "inner")
+    return lookup_join(requests, resolve_cities(candidates), REQUEST)
 
 
-def enrich_readings(readings: DataFrame, places: DataFrame, on: str | list[str]) -> DataFrame:
+def enrich_readings(readings: DataFrame, places: DataFrame, on: Sequence[str]) -> DataFrame:
     """Attach the resolved place to each reading and shape the enriched message.
 
-    Works for a streaming ``readings`` with a static ``places``.  No broadcast is forced:
-    Spark broadcasts ``places`` while its measured size is under the session threshold
-    and falls back to a shuffled join (skew-split by AQE) beyond it.
+    ``on`` names the key columns, one place per key.  Works for a streaming ``readings``
+    with a static ``places``.
     """
     geo = places.drop("latitude", "longitude", "timezone")
-    joined = readings.join(geo, on, "inner")
+    joined = lookup_join(readings, geo, on)
     return joined.select(
         *readings.columns,
         "city",

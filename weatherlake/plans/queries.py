@@ -173,7 +173,7 @@ def resolve_city(spark, sf_dir):
 @query
 def enrich_readings(spark, sf_dir):
     places = geo.resolve_cities(adapters.candidates(spark, sf_dir))
-    return geo.enrich_readings(adapters.requested_readings(spark, sf_dir), places, list(geo.REQUEST))
+    return geo.enrich_readings(adapters.requested_readings(spark, sf_dir), places, geo.REQUEST)
 
 
 # --- messages ---------------------------------------------------------------------------
