@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from helpers import tuples
+from helpers import plan_text, tuples
 
 from pyspark.sql import functions as F
 from weatherlake import schemas
@@ -28,8 +28,16 @@ def test_decode_gives_nulls_for_bad_text(spark):
 
 def test_rejects_are_kept_apart(spark):
     decoded = codec.decode_with_rejects(_messages(spark), SCHEMA)
+    assert decoded.columns == ["a", "b", schemas.CORRUPT_COLUMN]
     assert tuples(codec.accepted(decoded)) == [(1, "x"), (2, None)]
     assert tuples(codec.rejected(decoded)) == [("{oops",), ("",)]
+    blank = spark.createDataFrame([(" ",), ('{"a": "text"}',)], "value string")
+    assert tuples(codec.rejected(codec.decode_with_rejects(blank, SCHEMA))) == [(" ",), ('{"a": "text"}',)]
+
+
+def test_filtered_messages_are_parsed_once(spark):
+    decoded = codec.decode_with_rejects(_messages(spark), SCHEMA)
+    assert plan_text(codec.accepted(decoded).filter("a > 1")).count("from_json(") == 1
 
 
 def test_encode_leaves_out_nulls(spark):

@@ -19,20 +19,27 @@ def decode_json_sql(df: DataFrame, schema: StructType, value: str = "value") ->
     return df.selectExpr(f"from_json(CAST({value} AS STRING), '{ddl}') AS data").selectExpr("data.*")
 
 
+def parsed_columns(df: DataFrame, text: Column, schema: StructType, *keep: Column, **options: str) -> DataFrame:
+    """Kept columns followed by the fields of the JSON ``text``, parsed once per row.
+
+    The fields come out of a generator rather than a projection: filters on projected
+    fields are pushed below the projection and would parse the text a second time.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema, options))))
+
+
 def decode_with_rejects(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """``decode_json`` plus a column holding the text of messages that did not decode.
 
-    A NULL message is a reject too; its reject text is the empty string.
+    A missing or blank message is a reject too; its reject text is empty or blank.
     """
     text = F.col(value).cast("string")
-    decoded = F.from_json(
-        text, with_corrupt_column(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    )
-    rejected = F.when(text.isNull(), F.lit("")).otherwise(F.col(f"data.{CORRUPT_COLUMN}"))
-    return df.select(text.alias(value), decoded.alias("data")).select(
-        *[F.col(f"data.{name}").alias(name) for name in schema.fieldNames()],
-        rejected.alias(CORRUPT_COLUMN),
+    fields = parsed_columns(
+        df, text, with_corrupt_column(schema), text.alias("_text"), columnNameOfCorruptRecord=CORRUPT_COLUMN
     )
+    blank = F.coalesce(F.trim("_text"), F.lit("")) == ""
+    reject = F.when(blank, F.coalesce("_text", F.lit(""))).otherwise(F.col(CORRUPT_COLUMN))
+    return fields.withColumn(CORRUPT_COLUMN, reject).drop("_text")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weatherlake.functions.codec import parsed_columns
 from weatherlake.functions.text import truth
 from weatherlake.operators.alerts import transform_flat, with_alert_levels
 from weatherlake.operators.records import CITY_KEYS
 from weatherlake.operators.trips import STATE
+from weatherlake.schemas import struct
 
 # Weather code of each event type is its place in this list.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -37,21 +39,32 @@ def _located(spark: SparkSession, sf_dir: str, fact: DataFrame, customer_key: st
     )
 
 
+def measured_events(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
+    """Events with the number ``k`` of their JSON properties.
+
+    As a projection ``k`` costs nothing where it is not used; queries that filter on wind
+    parse it through a generator instead, because a pushed-down filter would parse it again.
+    """
+    events = table(spark, sf_dir, "events")
+    if wind_filtered:
+        return parsed_columns(events, F.col("props"), struct("k double"), *[F.col(name) for name in events.columns])
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+
+
 def _measures() -> dict[str, Column]:
-    gust = F.get_json_object("props", "$.k").cast("double") * 0.5
     code = F.array_position(F.array(*[F.lit(name) for name in EVENT_TYPES]), F.col("event_type")) - 1
     return {
         "temperature": _null_every(89, "event_id", F.col("value")),
-        "windspeed": _null_every(97, "event_id", gust),
+        "windspeed": _null_every(97, "event_id", F.col("k") * 0.5),
         "humidity": (F.col("event_id") % 101).cast("double"),
         "weathercode": code.cast("int"),
         "event_time": F.col("ts"),
     }
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
     """Flat readings of every event, located through its customer."""
-    located = _located(spark, sf_dir, table(spark, sf_dir, "events"), "user_id")
+    located = _located(spark, sf_dir, measured_events(spark, sf_dir, wind_filtered), "user_id")
     return located.select(
         "event_id",
         F.col("n_name").alias("city"),
@@ -62,17 +75,17 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_alert_levels(readings(spark, sf_dir))
+def classified(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
+    return with_alert_levels(readings(spark, sf_dir, wind_filtered))
 
 
-def transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transform_flat(readings(spark, sf_dir))
+def transformed(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
+    return transform_flat(readings(spark, sf_dir, wind_filtered))
 
 
-def partly_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+def partly_named(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
     """Classified readings of which some miss their city and some their country."""
-    return classified(spark, sf_dir).withColumns(
+    return classified(spark, sf_dir, wind_filtered).withColumns(
         {
             "city": _null_every(83, "event_id", F.col("city")),
             "country": F.when(F.col("event_id") % 79 == 0, F.lit("Unknown")).otherwise(F.col("country")),
@@ -230,7 +243,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def requested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings that still carry the request of their place."""
     measures = _measures()
-    return table(spark, sf_dir, "events").select(
+    return measured_events(spark, sf_dir).select(
         "event_id",
         *_request_of("user_id"),
         measures["temperature"].alias("temperature"),

@@ -86,17 +86,17 @@ def flat_transform(spark, sf_dir):
 
 @query
 def high_wind_alerts(spark, sf_dir):
-    return alerts.high_wind_rows(adapters.transformed(spark, sf_dir)).select("event_id", "windspeed")
+    return alerts.high_wind_rows(adapters.transformed(spark, sf_dir, wind_filtered=True)).select("event_id", "windspeed")
 
 
 @query
 def stored_alerts(spark, sf_dir):
-    return alerts.alerts_to_store(adapters.partly_named(spark, sf_dir))
+    return alerts.alerts_to_store(adapters.partly_named(spark, sf_dir, wind_filtered=True))
 
 
 @query
 def alerts_per_city(spark, sf_dir):
-    return reports.alerts_per_city(alerts.alerts_to_store(adapters.partly_named(spark, sf_dir)))
+    return reports.alerts_per_city(alerts.alerts_to_store(adapters.partly_named(spark, sf_dir, wind_filtered=True)))
 
 
 @query
@@ -159,7 +159,7 @@ def temperature_series(spark, sf_dir):
 
 @query
 def wind_series(spark, sf_dir):
-    return reports.measure_series(adapters.partly_named(spark, sf_dir), "windspeed")
+    return reports.measure_series(adapters.partly_named(spark, sf_dir, wind_filtered=True), "windspeed")
 
 
 # --- places -----------------------------------------------------------------------------
