@@ -46,7 +46,7 @@ def test_untimed_rows_leave_the_windows_and_nulls_stay_null(spark):
     } == {(None, None, None, 1, 0, 0)}
 
 
-@pytest.mark.parametrize(("window", "slide"), [("5 minutes", "1 minute"), ("10 minutes", "5 minutes"), ("1 hour", "1 hour")])
+@pytest.mark.parametrize(("window", "slide"), [("5 minutes", "1 minute"), ("10 minutes", "5 minutes"), ("1 hour", "1 hour"), ("5 minutes", "2 minutes")])
 def test_panes_equal_direct_windows(spark, window, slide):
     readings = adapters.classified(spark, SF_DIR)
     rounded = ["avg_temperature", "avg_windspeed", "avg_humidity"]

@@ -7,6 +7,7 @@ windows, so a reading is expanded once instead of once per window.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weatherlake.constants import LEVEL_1, LEVEL_2, SLIDING_STEP, SLIDING_WINDOW, TUMBLING_WINDOW
@@ -92,6 +93,13 @@ def sliding_aggregates_stream(
     return _finish(windowed)
 
 
+def _whole_slides(window: str, slide: str) -> bool:
+    try:
+        return pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0)
+    except ValueError:
+        return False
+
+
 def sliding_aggregates(
     readings: DataFrame,
     window: str = SLIDING_WINDOW,
@@ -100,9 +108,12 @@ def sliding_aggregates(
 ) -> DataFrame:
     """Sliding aggregates of a bounded table through panes.
 
-    ``window`` must be a whole number of slides.  Both steps combine map-side, so a place
-    holding most readings ships one partial row per pane and task.
+    Both steps combine map-side, so a place holding most readings ships one partial row
+    per pane and task.  A window that is no whole number of slides has no panes and is
+    computed directly.
     """
+    if not _whole_slides(window, slide):
+        return sliding_aggregates_stream(readings, window, slide, time)
     timed = with_event_timestamp(readings, time)
     parts = [
         part(measure).alias(f"{name}_{measure}")

@@ -7,6 +7,8 @@ Spark broadcasts a dimension while its size statistics allow it and shuffles oth
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.functions.codec import parsed_columns
@@ -15,6 +17,7 @@ from weatherlake.operators.alerts import transform_flat, with_alert_levels
 from weatherlake.operators.records import CITY_KEYS
 from weatherlake.operators.trips import STATE
 from weatherlake.schemas import struct
+from weatherlake.sources.files import read_parquet
 
 # Weather code of each event type is its place in this list.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -22,8 +25,17 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 WANTED = ("urgent", "High", "MEDIUM", "specified", "low")
 
 
+# Scans already resolved, per session: listing files and reading a footer for the schema
+# costs more than a whole query on small tables.  The tables do not change.
+_SCANS: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scans = _SCANS.setdefault(spark, {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in scans:
+        scans[path] = read_parquet(spark, path)
+    return scans[path]
 
 
 def _null_every(n: int, key: str, value: Column) -> Column:

@@ -48,7 +48,12 @@ def append_alerts(classified: DataFrame, path: str) -> None:
 
 
 def alert_store_writer(classified: DataFrame, path: str) -> DataStreamWriter:
-    """Writer that appends the alerts of a stream to the alert store."""
+    """Writer that appends the alerts of a stream to the alert store, exactly once.
+
+    Every task writes its own file per place.  Where that makes too many small files, feed
+    ``append_alerts`` from ``streaming.jobs.shared_writer``: it rebalances each batch, at
+    least once.
+    """
     alerts = stamp_saved(alerts_to_store(classified))
     return alerts.writeStream.format("json").option("path", path).partitionBy(*PLACE_FOLDERS).outputMode("append")
 
