@@ -25,7 +25,6 @@ def _rides(spark, rows):
 
 def _by_hand(rows):
     """Plain restatement: order, previous state, starts, and starts up to each date."""
-    key_of = lambda r: (r[1], (r[2] is not None, r[2]), r[0])
     ordered = sorted(rows, key=lambda r: (r[1], r[2] is not None, r[2] or START, r[0]))
     changes, starts = {}, {}
     for previous, row in zip([None, *ordered], ordered, strict=False):

@@ -111,12 +111,13 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="weatherlake", description=__doc__)
     commands = parser.add_subparsers(dest="job", required=True)
 
-    def add(name: str, function, topic_in: str | None = None, topic_out: str | None = None, stream: bool = True):
+    def add(name: str, function, topic_in: str | None = None, topic_out: str | None = None,
+            stream: bool = True, writes: bool = True):
         command = commands.add_parser(name)
         command.set_defaults(function=function)
         command.add_argument("--servers")
         command.add_argument("--input", required=topic_in is None, default=topic_in)
-        command.add_argument("--output", default=topic_out)
+        command.add_argument("--output", default=topic_out, required=topic_out is None and writes)
         if stream:
             command.add_argument("--starting", default="latest", choices=["latest", "earliest"])
             command.add_argument("--max-per-trigger", type=int)
@@ -136,10 +137,10 @@ def _parser() -> argparse.ArgumentParser:
     add("store-alerts", store_alerts, constants.TOPIC_TRANSFORMED).add_argument("--carry-geo", action="store_true")
     add("high-wind", high_wind, constants.TOPIC_TRANSFORMED)
     add("records", climate_records, stream=False).add_argument("--topic", default=constants.TOPIC_RECORDS)
-    command = add("report", report, stream=False)
+    command = add("report", report, stream=False, writes=False)
     command.add_argument("--country")
     command.add_argument("--city")
-    add("tail", tail, constants.TOPIC_READINGS)
+    add("tail", tail, constants.TOPIC_READINGS, writes=False)
     return parser
 
 

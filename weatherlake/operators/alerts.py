@@ -9,7 +9,7 @@ from weatherlake.functions.levels import fahrenheit, heat_level, is_alert, is_hi
 from weatherlake.functions.text import coordinate_name, path_safe
 from weatherlake.functions.times import parse_time
 
-# Output name of each measure inside ``current``.
+# Output name of each measure inside ``current``, places, stored columns.
 MEASURES = {
     "event_time": "time",
     "temperature": "temperature_2m",
@@ -19,7 +19,6 @@ MEASURES = {
     "apparent_temperature": "apparent_temperature",
 }
 GEO_COLUMNS = ("city", "country", "country_code", "region", "population")
-# Payload of a stored alert, before the storage stamp.
 ALERT_COLUMNS = (
     "country", "city", "latitude", "longitude", "event_time", "temperature", "windspeed",
     "wind_alert_level", "heat_alert_level", "weathercode", "humidity",

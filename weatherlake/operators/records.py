@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weatherlake.functions.joins import join_null_safe
 
+# Column names of the daily table and the arrays they come from.
 CITY_KEYS = ("city", "country", "country_code", "latitude", "longitude")
 DAILY_MEASURES = ("temp_max", "temp_min", "wind_max", "precipitation")
-# Daily column -> array it comes from.
 DAILY_ARRAYS = {
     "temp_max": "temperature_2m_max",
     "temp_min": "temperature_2m_min",

@@ -31,6 +31,7 @@ MAX_HOT_IDS = 10_000
 BROADCAST_ROWS = 500_000
 TIE_SEED = 29
 
+# Column names of the ride log and of the numbering.
 STATE = "sur_velo_bool"
 FLAGS = ("changement", "debut_trajet", "numero_de_trajet")
 

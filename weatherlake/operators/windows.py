@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weatherlake.constants import LEVEL_1, LEVEL_2, SLIDING_STEP, SLIDING_WINDOW, TUMBLING_WINDOW
 from weatherlake.functions.times import local_to_utc, parse_time
 
+# Names, levels counted and column order of the published aggregates.
 PLACE = ("latitude", "longitude")
 AVERAGED = ("temperature", "windspeed", "humidity")
 BOUNDED = ("temperature", "windspeed")
-# Counter name -> (level column, level counted).
 LEVEL_COUNTERS = {
     "wind_level1_count": ("wind_alert_level", LEVEL_1),
     "wind_level2_count": ("wind_alert_level", LEVEL_2),

@@ -10,7 +10,7 @@ from weatherlake.constants import LEVEL_2, RIDE_TIME_FORMAT
 from weatherlake.functions.codec import decode_with_rejects
 from weatherlake.functions.levels import or_default
 from weatherlake.functions.text import coordinate_key, place_key
-from weatherlake.functions.times import in_history_period, parse_time
+from weatherlake.functions.times import in_history_period, local_to_utc, parse_time
 from weatherlake.operators import alerts, climate, geo, profile, records, reports, trips, windows
 from weatherlake.plans import adapters
 from weatherlake.schemas import CORRUPT_COLUMN, struct
@@ -427,7 +427,10 @@ def parse_times(spark, sf_dir):
     written = {
         "not_a_time": parse_time("o_orderpriority"),
         "minute_form": parse_time(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm")),
-        "zulu_form": parse_time(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        # An instant: shown as UTC wall-clock time whatever the session zone is.
+        "zulu_form": local_to_utc(
+            parse_time(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.current_timezone()
+        ),
         "ride_form": parse_time(F.date_format("o_orderdate", RIDE_TIME_FORMAT), RIDE_TIME_FORMAT),
     }
     return orders.select(

@@ -1,4 +1,7 @@
-"""Declared schemas of every message and file; all fields are nullable."""
+"""Declared schemas of every message and file; all fields are nullable.
+
+Field names, types and order are fixed values shared with the other producers and consumers.
+"""
 
 from __future__ import annotations
 
