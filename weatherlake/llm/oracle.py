@@ -1,5 +1,14 @@
 """SQL counterparts for DuckDB."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+"""
+
 MIX = r"""
 WITH rows AS (
   SELECT doc_id, source, text,
@@ -69,6 +78,7 @@ FROM formed GROUP BY conv_id
 """
 
 LLM_ORACLE = {
+    "op1_exact_dedup": EXACT,
     "op6_source_mix": MIX,
     "op8_chat_format": CHAT,
 }

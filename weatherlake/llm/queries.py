@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weatherlake.llm.chat import chat_digests, format_chats
 from weatherlake.llm.common import table
+from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.mixing import mix
 
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -24,6 +29,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op6_source_mix": op6_source_mix,
     "op8_chat_format": op8_chat_format,
 }
