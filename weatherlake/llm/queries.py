@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from weatherlake.llm.bpe import encode_decode
 from weatherlake.llm.chat import chat_digests, format_chats
 from weatherlake.llm.common import table
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.mixing import mix
 
+VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -20,6 +24,21 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def token_digests(encoded: DataFrame) -> DataFrame:
+    """Digests of what ``encode_decode`` returns."""
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(encode_decode(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, plus conversation -1 whose texts hold the control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -31,5 +50,6 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_source_mix": op6_source_mix,
+    "op7_bpe_codec": op7_bpe_codec,
     "op8_chat_format": op8_chat_format,
 }
