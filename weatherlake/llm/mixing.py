@@ -8,7 +8,7 @@ from weatherlake.llm.common import WORD, keep, probe_join
 
 SOURCE_WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-KEY_BINS = 1 << 16
+KEY_BINS = 1 << 12
 
 
 def text_weight(text: Column, size: Column) -> Column:
