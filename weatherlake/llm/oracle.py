@@ -9,6 +9,19 @@ FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
 WINDOW same AS (PARTITION BY t)
 """
 
+TOP = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
 MIX = r"""
 WITH rows AS (
   SELECT doc_id, source, text,
@@ -79,6 +92,7 @@ FROM formed GROUP BY conv_id
 
 LLM_ORACLE = {
     "op1_exact_dedup": EXACT,
+    "op4_topk_search": TOP,
     "op6_source_mix": MIX,
     "op8_chat_format": CHAT,
 }

@@ -11,6 +11,7 @@ from weatherlake.llm.chat import chat_digests, format_chats
 from weatherlake.llm.common import table
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.mixing import mix
+from weatherlake.llm.topk import top_k
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
@@ -20,6 +21,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -49,6 +54,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_topk_search": op4_topk_search,
     "op6_source_mix": op6_source_mix,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_chat_format": op8_chat_format,
