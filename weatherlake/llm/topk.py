@@ -67,7 +67,7 @@ def _pack_candidates(batches):
         yield from table.to_batches()
 
 
-def _pack_queries(key, table: pa.Table) -> pa.Table:
+def _pack_queries(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     ids, vectors = table.column("vec_id").to_pylist(), table.column("vector").to_pylist()
     return _packed(ids, vectors, max(1, len(ids)), key[0].as_py())
 
@@ -150,7 +150,7 @@ def top_k(
 
     lane = F.pmod(F.xxhash64("number"), F.lit(lanes)).cast("int")
     right = packed.select(
-        "dims", lane.alias("lane"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("number"),
+        "dims", lane.alias("lane"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("number"),
         F.col("ids").alias("c_ids"), F.col("parts").alias("c_parts"),
     )
 
