@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from weatherlake.functions.joins import lookup_join
 from weatherlake.llm.common import keep
-from weatherlake.llm.words import text_batches
+from weatherlake.llm.words import slices, text_batches
 
 LEAST, MOST, BITS, PAD = 128, 8192, 9, 16
 DIGEST_BYTES = 16
@@ -64,7 +64,7 @@ def _chunked(column: pa.Array) -> Iterator[tuple[bytes, list[bytes]]]:
 
 def _recipes(digest_bytes: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_text")):
             names, shas = [], []
             for text, chunks in _chunked(batch.column("_text")):
                 names.append([hashlib.blake2b(c, digest_size=digest_bytes).digest() for c in chunks])
@@ -79,7 +79,7 @@ def _recipes(digest_bytes: int):
 
 def _contents(digest_bytes: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_text")):
             seen = {c for _, chunks in _chunked(batch.column("_text")) for c in chunks}
             names = [hashlib.blake2b(c, digest_size=digest_bytes).digest() for c in seen]
             yield pa.RecordBatch.from_arrays(
@@ -91,7 +91,7 @@ def _contents(digest_bytes: int):
 
 def _occurrences(digest_bytes: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_text")):
             ids = batch.column("doc_id").to_pylist()
             rows = [
                 (doc_id, hashlib.sha256(text).hexdigest(), i, hashlib.blake2b(c, digest_size=digest_bytes).digest(), c)

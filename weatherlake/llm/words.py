@@ -8,6 +8,8 @@ the end.  Work arrays are bounded by ``SLICE`` bytes, except where one word is l
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE = 1 << 18
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -102,3 +104,10 @@ def text_batches(sizes: list[int], limit: int = 4 << 20):
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
+    """The batch in slices with about ``limit`` bytes of text each, so that work arrays stay small."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for a, b in text_batches(sizes, limit):
+        yield batch.slice(a, b - a)
