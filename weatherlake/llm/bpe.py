@@ -18,6 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from weatherlake.llm.words import slices
+
 # Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PATTERN_WITHOUT = (
@@ -161,18 +163,16 @@ class _Pieces(dict):
 def _run(spec):
     def run(batches):
         codec = Codec(spec.value)
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a in range(0, len(texts), 500):
-                flat, ends, decoded = array("i"), array("i", [0]), []
-                for text in texts[a : a + 500]:
-                    start = len(flat)
-                    flat.extend(codec.encode(text or ""))
-                    ends.append(len(flat))
-                    decoded.append(codec.decode(flat[start:]))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-                rows = batch.slice(a, 500)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        for rows in (part for batch in batches for part in slices(batch, "_text")):
+            flat, ends, decoded = array("i"), array("i", [0]), []
+            for text in rows.column("_text").to_pylist():
+                start = len(flat)
+                flat.extend(codec.encode(text or ""))
+                ends.append(len(flat))
+                decoded.append(codec.decode(flat[start:]))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            arrays = [rows.column("doc_id"), ids, pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
 
     return run
 
