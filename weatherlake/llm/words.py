@@ -24,18 +24,21 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+def _tables(between: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Random value of each byte (0 for those between words) and which bytes stand between words."""
     rng = np.random.default_rng(20240229)
     values = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
     upper = np.arange(ord("A"), ord("Z") + 1)
     values[upper] = values[upper + 32]
     space = np.zeros(256, dtype=bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
+    space[between] = True
     values[space] = 0
     return values, space
 
 
-_VALUES, _SPACE = _tables()
+SPACES = _tables([0x20, *range(0x09, 0x0E)])
+# Here every ASCII character but letters and digits stands between words.
+LETTERS = _tables([b for b in range(128) if not chr(b).isalnum()])
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -50,22 +53,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def _slice_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slice_words(buf: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word of a buffer."""
-    gap = _SPACE[buf]
+    values, space = tables
+    gap = space[buf]
     word = ~gap
     starts = np.flatnonzero(word & np.concatenate(([True], gap[:-1])))
     if not len(starts):
         return np.zeros(0, np.uint64), starts
     up, down = _powers(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[buf] * up[: len(buf)], out=sums[1:])
+    np.cumsum(values[buf] * up[: len(buf)], out=sums[1:])
     ends = np.flatnonzero(word & np.concatenate((gap[1:], [True]))) + 1
     h = (sums[ends] - sums[starts]) * down[starts]
     return _mix(h + (ends - starts).astype(np.uint64) * np.uint64(MULTIPLIER)), starts
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes], tables=SPACES) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and the number of words of each text."""
     counts = np.zeros(len(texts), dtype=np.int64)
     if not texts:
@@ -76,13 +80,13 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     while at < len(buf):
         end = min(at + SLICE, len(buf))
         if end < len(buf):  # cut behind white space, so that no word is split
-            blanks = np.flatnonzero(_SPACE[buf[at:end]])
+            blanks = np.flatnonzero(tables[1][buf[at:end]])
             while not len(blanks) and end < len(buf):
                 end = min(end + SLICE, len(buf))
-                blanks = np.flatnonzero(_SPACE[buf[at:end]])
+                blanks = np.flatnonzero(tables[1][buf[at:end]])
             if end < len(buf):
                 end = at + blanks[-1] + 1
-        h, starts = _slice_words(buf[at:end])
+        h, starts = _slice_words(buf[at:end], tables)
         counts += np.bincount(np.searchsorted(bounds, starts + at, side="right"), minlength=len(texts))
         parts.append(h)
         at = end
