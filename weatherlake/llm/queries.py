@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm.bpe import encode_decode
 from weatherlake.llm.chat import chat_digests, format_chats
-from weatherlake.llm.common import fold_of, table
+from weatherlake.llm.common import fold_of, keep, table
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.mixing import mix
-from weatherlake.llm import toxicity
+from weatherlake.llm import quality, toxicity
 from weatherlake.llm.topk import top_k
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -22,6 +22,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; rows whose fold is 1 lend no labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    stats = keep(quality.document_statistics(docs), "statistics")
+    model = quality.train(stats, labels.filter(fold_of(F.col("doc_id"), 3) != 1))
+    return quality.score(stats, model).select(
+        "doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; rows whose fold is 0 lend no labels."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -65,6 +76,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_topk_search": op4_topk_search,
     "op6_source_mix": op6_source_mix,
