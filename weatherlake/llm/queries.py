@@ -12,6 +12,7 @@ from weatherlake.llm.common import fold_of, keep, table
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.mixing import mix
 from weatherlake.llm import quality, toxicity
+from weatherlake.llm.near_dedup import near_duplicates
 from weatherlake.llm.topk import top_k
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -74,6 +75,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(rows.unionByName(probe)))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -82,4 +87,5 @@ LLM_QUERIES = {
     "op6_source_mix": op6_source_mix,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_chat_format": op8_chat_format,
+    "op9_near_duplicates": op9_near_duplicates,
 }
