@@ -10,6 +10,7 @@ from weatherlake.llm.bpe import encode_decode
 from weatherlake.llm.chat import chat_digests, format_chats
 from weatherlake.llm.common import fold_of, keep, table
 from weatherlake.llm.exact_dedup import exact_dedup
+from weatherlake.llm.language_model import score_documents
 from weatherlake.llm.mixing import mix
 from weatherlake.llm import quality, toxicity
 from weatherlake.llm.near_dedup import near_duplicates
@@ -79,6 +80,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows whose fold is not 2."""
+    return score_documents(table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 7) != 2)
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -88,4 +94,5 @@ LLM_QUERIES = {
     "op7_bpe_codec": op7_bpe_codec,
     "op8_chat_format": op8_chat_format,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_language_model": op10_language_model,
 }
