@@ -12,6 +12,7 @@ from weatherlake.llm.common import fold_of, keep, table
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.language_model import score_documents
 from weatherlake.llm.mixing import mix
+from weatherlake.llm.repeats import remove_repeats
 from weatherlake.llm import quality, toxicity
 from weatherlake.llm.near_dedup import near_duplicates
 from weatherlake.llm.topk import top_k
@@ -49,6 +50,13 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -90,6 +98,7 @@ LLM_QUERIES = {
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_topk_search": op4_topk_search,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_source_mix": op6_source_mix,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_chat_format": op8_chat_format,
