@@ -64,6 +64,8 @@ def mix(
 ) -> DataFrame:
     """How many words of each document a mix takes, so that sources come near their targets.
 
+    doc_id, size, source_size, target, taken, source, copies (how often the document is taken) and text_hash.
+
     A source's target holds so many complete epochs of all its documents; for the rest documents are
     drawn without repetition by ascending key -ln(u) / weight (Efraimidis-Spirakis), and the
     sizes are prefix-summed up to the budget.  The document at the budget's edge is taken if that
@@ -109,4 +111,5 @@ def mix(
     return sure.unionByName(edge).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * (F.col("_epochs") + F.col("_in"))).alias("taken"), "source",
+        (F.col("_epochs") + F.col("_in")).alias("copies"), F.col("_tie").alias("text_hash"),
     )

@@ -126,8 +126,8 @@ def _signed(bands: int, rows: int):
             bounds = np.append(0, np.cumsum(filled) * bands)
             listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys[filled].reshape(-1)))
             weights = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
-            arrays = [part.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(weights), listed]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "weight", "bands"])
+            arrays = [part.column("doc_id"), part.column("text_md5"), pa.array(nodes, pa.binary()), pa.array(weights), listed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_md5", "node", "weight", "bands"])
 
     return run
 
@@ -185,17 +185,19 @@ def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,
     similarity: tuple[int, int] = SIMILARITY,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, kept.
+    """One row per document: doc_id, class_id, class_size, kept, text_md5.
 
     Classes are the connected components of pairs whose weighted Jaccard similarity of five-word shingles is
     at least ``similarity``; the class id is its least doc_id, and that row is kept.  Words have A-Z
     lower-cased.  Null counts as empty; texts without words form one class.  Repeated rows are in one
-    class, and of those with its id one is kept; null ids lose to any other.  Other columns are left out.
+    class, and of those with its id one is kept, by text digest; null ids lose to any other.  text_md5
+    tells rows with equal ids apart.  Other columns are left out.
     """
     source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, node binary, weight long, bands array<long>"
-    signed = keep(source.mapInArrow(_signed(bands, rows), schema), "signatures")
+    schema = f"doc_id {kind}, text_md5 string, node binary, weight long, bands array<long>"
+    signed = source.withColumn("text_md5", F.md5(F.coalesce("_text", F.lit("")).cast("binary")))
+    signed = keep(signed.mapInArrow(_signed(bands, rows), schema), "signatures")
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("weight").alias("weight"))
     spread = nodes.select("node", "weight", F.explode("bands").alias("key"))
     sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -205,16 +207,17 @@ def near_duplicates(
     texts = keep(texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "texts")
     labels = _linked(shared, texts, similarity)
 
-    members = signed.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("_copies"))
+    members = signed.groupBy("doc_id", "text_md5", "node").agg(F.count(F.lit(1)).alias("_copies"))
     members = members.withColumn("_node", F.col("node"))
     members = probe_join(members, labels, ["node"], "left").select(
-        "doc_id", "_copies", F.coalesce("label", "_node").alias("label")
+        "doc_id", "text_md5", "_copies", F.coalesce("label", "_node").alias("label")
     )
-    groups = members.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("_copies").alias("class_size"))
-    found = lookup_join(members, groups, ["label"])
+    first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_md5")
+    groups = members.groupBy("label").agg(F.min(first).alias("_first"), F.sum("_copies").alias("class_size"))
+    found = lookup_join(members, groups, ["label"]).withColumn("_this", first)
     found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("_copy") == 1)
-    return found.select("doc_id", "class_id", "class_size", kept.alias("kept"))
+    kept = F.col("_this").eqNullSafe(F.col("_first")) & (F.col("_copy") == 1)
+    return found.select("doc_id", F.col("_first.doc_id").alias("class_id"), "class_size", kept.alias("kept"), "text_md5")
 
 
 def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:

@@ -58,17 +58,18 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def token_digests(encoded: DataFrame) -> DataFrame:
-    """Digests of what ``encode_decode`` returns."""
+def token_digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """Digests of what ``encode_decode`` returns, and its columns ``more``."""
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )
 
 
@@ -85,7 +86,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,3 +243,19 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, score double, threshold double, rejected boolean")
+
+
+def clean(docs: DataFrame, net: Network) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches):
+        model = shared.value
+        common = model.thresholds.get(None, 0.5)
+        for rows in (part for batch in batches for part in slices(batch, "text", 1 << 19)):
+            ids, counts = word_ids(encoded(rows.column("text").to_pylist()))
+            p = model.probability(model.logits(ids, counts).astype(np.float64))
+            cut = np.array([model.thresholds.get(x, common) for x in rows.column("lang").to_pylist()])
+            yield rows.filter(pa.array(p < cut, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
