@@ -10,6 +10,10 @@ process ends where it passes the largest value still wanted, so long texts cost
 Equal bags are folded into one node first.  Nodes that share a band are candidates; within a
 bucket they are compared to one leader at a time, and only pairs that still lie in different components
 after these rounds are compared one by one.  A pair counts when its multiset overlap reaches the threshold.
+
+Two exact bounds spare most comparisons: a pair's overlap is at most the smaller weight, and at most the weight of
+those shingles of either node that any other candidate has at all.  Of many copies with edits of their own
+the second bound leaves only those that are close to a common text.
 """
 
 from __future__ import annotations
@@ -205,6 +209,11 @@ def near_duplicates(
     # One text of each node that has a candidate; copies are dropped as soon as they meet.
     texts = source.select("_text").mapInArrow(_named, "node binary, text string")
     texts = keep(texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "texts")
+    own = probe_join(shared, _own_weights(texts), ["node"], "left")
+    met = F.col("weight") - F.coalesce("own", F.lit(0))
+    own = own.select("key", F.col("node"), "weight", "n", met.alias("met"))
+    # Similarity to any other node is at most met / weight.
+    shared = keep(own.filter(F.col("met") * similarity[1] >= F.col("weight") * similarity[0]), "buckets")
     labels = _linked(shared, texts, similarity)
 
     members = signed.groupBy("doc_id", "text_md5", "node").agg(F.count(F.lit(1)).alias("_copies"))
@@ -220,15 +229,35 @@ def near_duplicates(
     return found.select("doc_id", F.col("_first.doc_id").alias("class_id"), "class_size", kept.alias("kept"), "text_md5")
 
 
+def _shingled(batches):
+    """A long name of the node, shingle and multiplicity."""
+    for part in (p for batch in batches for p in slices(batch, "text")):
+        owner, shingle, count = bags(encoded(part.column("text").to_pylist()))
+        names = np.array([int.from_bytes(n[:8], "big", signed=True) for n in part.column("node").to_pylist()], dtype=np.int64)
+        arrays = [pa.array(names[owner]), pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, ["name", "shingle", "times"])
+
+
+def _own_weights(texts: DataFrame) -> DataFrame:
+    """node, own: the weight of its shingles that no other candidate has."""
+    shingles = texts.mapInArrow(_shingled, "name long, shingle long, times long")
+    alone = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"), F.sum("times").alias("times"))
+    own = alone.filter("n = 1").groupBy("name").agg(F.sum("times").alias("own"))
+    # Nodes whose names collide go without, which only costs comparisons.
+    name = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
+    names = texts.select("node", name.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node"))
+    return lookup_join(own, names.filter("n = 1"), ["name"]).select("node", "own")
+
+
 def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Component labels of the nodes that have a verified link."""
     num, den = similarity
-    members = shared.select("key", "node", "weight", F.col("node").alias("label"))
+    members = shared.select("key", "node", "weight", "met", F.col("node").alias("label"))
     popular = shared.groupBy("node").agg(F.sum("n").alias("_popular"))
     edges, labels = None, None
     for turn in range(LEADER_ROUNDS + 2):
         if labels is not None:  # buckets that still hold several components
-            members = probe_join(shared.select("key", "node", "weight"), labels, ["node"], "left")
+            members = probe_join(shared.select("key", "node", "weight", "met"), labels, ["node"], "left")
             members = members.withColumn("label", F.coalesce("label", "node"))
             split = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
             members = keep(lookup_join(members, split.filter("x <> y").select("key"), ["key"]), "open-buckets")
@@ -237,17 +266,18 @@ def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) ->
         if turn <= LEADER_ROUNDS:  # first the member that shares most, then others by chance
             ranked = lookup_join(members, popular, ["node"]) if turn == 0 else members
             rank = F.col("_popular") if turn == 0 else F.xxhash64(F.lit(turn), "key", "node")
-            chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "label")).alias("_l"))
+            chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "met", "label")).alias("_l"))
         else:
-            chosen = members.select("key", F.struct("node", "weight", "label").alias("_l"))
+            chosen = members.select("key", F.struct("node", "weight", "met", "label").alias("_l"))
         chosen = chosen.select(
-            "key", F.col("_l.node").alias("a"), F.col("_l.weight").alias("_w"), F.col("_l.label").alias("_label")
+            "key", F.col("_l.node").alias("a"), F.col("_l.weight").alias("_w"), F.col("_l.met").alias("_met"),
+            F.col("_l.label").alias("_label"),
         )
         pairs = lookup_join(members, chosen, ["key"]).filter(F.col("label") != F.col("_label"))
         if turn > LEADER_ROUNDS:
             pairs = pairs.filter("a < node")
-        # A pair's similarity is at most the ratio of its weights.
-        pairs = pairs.filter(F.least("weight", "_w") * den >= F.greatest("weight", "_w") * num)
+        most = F.least("met", "_met")  # bounds the overlap, and is at most the smaller weight
+        pairs = pairs.filter(most * den >= (F.col("weight") + F.col("_w") - most) * num)
         pairs = pairs.select("a", F.col("node").alias("b")).distinct()
         for side in ("a", "b"):
             pairs = lookup_join(pairs, texts.select(F.col("node").alias(side), F.col("text").alias(f"_text_{side}")), [side])
