@@ -30,7 +30,7 @@ def test_readings_to_alerts_to_report(spark, tmp_path, capsys):
 
     run("classify", raw, transformed, "--carry-geo")
     run("store-alerts", transformed, store, "--carry-geo")
-    run("aggregate", transformed, sums)
+    run("aggregate", transformed, sums, "--unbounded")
     alerts = read_alerts(spark, store)
     assert bag(alerts.select("city", "wind_alert_level", "heat_alert_level")) == [
         ("Le Mans", "level_1", "level_2"), ("Paris", "level_2", "level_0"),
@@ -79,6 +79,48 @@ def test_records_job(spark, tmp_path, capsys):
     assert "Broken" in capsys.readouterr().out
 
 
+def test_jobs_keep_what_they_cannot_decode(spark, tmp_path, capsys):
+    """A field of the wrong type costs that field only; broken text is written and counted."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    good = {"temperature": 30.0, "windspeed": "calm", "time": "2025-01-01T10:00"}
+    (folder / "part.txt").write_text(json.dumps(good) + "\n" + '{"temperature": \n' + "[1, 2]\n" + "no json\n")
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    main(["classify", "--shape", "flat", "--input", str(folder), "--output", out, "--rejects", bad, "--available-now",
+          "--checkpoint", str(tmp_path / "c")], spark)
+    assert bag(spark.read.json(out).select("temperature", "heat_alert_level")) == [(30.0, "level_1")]
+    assert sorted(row.value for row in spark.read.text(bad).collect()) == ["[1, 2]", "no json", '{"temperature": ']
+    assert "4 received, 3 rejected" in capsys.readouterr().out
+
+
+def test_reports_are_not_cut(spark, tmp_path, capsys):
+    rows = [_reading(25, 40, f"City{i:02d}") | {"country": f"Country{i:02d}"} for i in range(30)]
+    raw, store = _lines(tmp_path / "raw", *rows), str(tmp_path / "store")
+    for job, source, target in (("classify", raw, str(tmp_path / "t")), ("store-alerts", str(tmp_path / "t"), store)):
+        main([job, "--input", source, "--output", target, "--available-now", "--carry-geo",
+              "--checkpoint", str(tmp_path / f"c-{job}")], spark)
+    main(["report", "--input", store], spark)
+    printed = capsys.readouterr().out
+    assert all(f"Country{i:02d} | City{i:02d}" in printed for i in range(30))
+    assert "unreadable lines: 0" in printed
+
+
+def test_records_job_needs_input_and_names_every_bad_file(spark, tmp_path, capsys):
+    for i in range(25):
+        folder = tmp_path / "in" / f"Broken{i:02d}"
+        folder.mkdir(parents=True)
+        (folder / "weather_history_raw.json").write_text("{")
+    with pytest.raises(SystemExit, match="25 skipped"):
+        main(["records", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out")], spark)
+    printed = capsys.readouterr().out
+    assert all(f"Broken{i:02d}" in printed for i in range(25))
+
+
+def test_aggregate_needs_a_bound_for_its_state(spark, tmp_path):
+    with pytest.raises(SystemExit, match="watermark"):
+        main(["aggregate", "--input", str(tmp_path), "--output", str(tmp_path / "o")], spark)
+
+
 def test_unknown_job():
     with pytest.raises(SystemExit):
         main(["nothing"])

@@ -6,6 +6,7 @@ import os
 import pytest
 from helpers import bag, plan_text, tuples
 
+from pyspark.sql import functions as F
 from weatherlake import schemas
 from weatherlake.operators import records
 from weatherlake.plans import adapters
@@ -87,7 +88,8 @@ def test_history_store_replaces_only_the_cities_it_gets(spark, tmp_path):
     documents = adapters.history_documents(spark, SF_DIR)
     sinks.write_history(documents, path)
     sinks.write_history(documents.filter("geocode_info.city = 'NATION_3'"), path)
-    stored = sources.read_history_store(spark, path)
+    stored, bad = sources.read_history_store(spark, path)
+    assert bad.count() == 0
     assert stored.count() == documents.count()
     columns = schemas.DAILY.fieldNames()
     assert bag(records.explode_history(stored).select(columns)) == bag(records.explode_history(documents).select(columns))
@@ -140,3 +142,28 @@ def test_keyed_messages(spark):
     documents = records.record_messages(records.climate_records(adapters.daily(spark, SF_DIR)))
     message = topic_sinks.keyed_messages(documents).filter("key = 'AF_NATION_0'").first()
     assert json.loads(message.value)["city"] == "NATION_0"
+
+
+def test_alert_lines_that_are_none(spark, tmp_path):
+    """Broken lines are kept apart, and names that share a folder are told apart."""
+    folder = tmp_path / "country_path=A_B" / "city_path=C"
+    folder.mkdir(parents=True)
+    lines = ['{"country": "A B", "city": "C", "event_time": "2025-01-01T10:00"}', '{"country": "A/B", "city": "C"}', "{broken", ""]
+    (folder / "part-0.json").write_text("\n".join(lines) + "\n")
+    root = str(tmp_path)
+    assert sorted(row.country for row in sources.read_alerts(spark, root).collect()) == ["A B", "A/B"]
+    assert [row.country for row in sources.read_alerts(spark, root, "A/B", "C").collect()] == ["A/B"]
+    assert [row.text for row in sources.unreadable_alerts(spark, root).collect()] == ["{broken"]
+
+
+def test_both_history_layouts(spark, tmp_path):
+    place = {"city": "Lyon", "country": "France", "country_code": "FR"}
+    document = {"geocode_info": place, "historical_data": {"latitude": 1.0, "daily": {"time": ["2025-01-01"]}}}
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "weather_history_raw.json").write_text(json.dumps(document, indent=1))
+    good, _ = sources.read_history(spark, str(tmp_path))
+    sinks.write_history(good.withColumn("geocode_info", good.geocode_info.withField("city", F.lit("Nice"))), str(tmp_path / "store"))
+    (tmp_path / "store" / "part-broken.json").write_text("{oops\n")
+    documents, bad = sources.read_all_history(spark, str(tmp_path))
+    assert sorted(row.geocode_info.city for row in documents.collect()) == ["Lyon", "Nice"]
+    assert [row.text for row in bad.collect()] == ["{oops"]

@@ -139,3 +139,15 @@ def test_messages(spark):
     assert geo.stamp_message(complete).first().fetched_at == "2025-01-01T10:00"
     history = geo.history_messages(spark.createDataFrame([_document(["2025-01-01"], [1.0], [1.0])], schemas.HISTORY_DOCUMENT))
     assert tuples(history.select("city", "region", "latitude")) == [("Lyon", "Rhone", 1.0)]
+
+
+def test_requests_without_a_country_get_the_first_candidate(spark):
+    requests = spark.createDataFrame([(1, "Lyon", None), (2, "Lyon", "france")], "request_id long, requested_city string, requested_country string")
+    rows = [(c, w, i, n, n) for w in (None, "france") for i, (c, n) in enumerate((("Lyon", "Chad"), ("Lyon", "France")))]
+    candidates = spark.createDataFrame(rows, "requested_city string, requested_country string, position int, name string, country string")
+    for name in ("country_code", "admin1", "timezone"):
+        candidates = candidates.withColumn(name, F.lit(None).cast("string"))
+    for name in ("latitude", "longitude", "population"):
+        candidates = candidates.withColumn(name, F.lit(None).cast("long"))
+    found = {row.request_id: row.country for row in geo.resolve_requests(requests, candidates).collect()}
+    assert found == {1: "Chad", 2: "France"}

@@ -173,7 +173,7 @@ def test_counters(spark, readings_folder, tmp_path):
     listener = metrics.TotalsListener()
     spark.streams.addListener(listener)
     try:
-        counted = metrics.observe_alert_stream(jobs.classified_stream(_stream(spark, readings_folder)))
+        counted = jobs.classified_stream(_stream(spark, readings_folder))
         _collect(spark, counted.writeStream)
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:

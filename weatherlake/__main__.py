@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from weatherlake import constants
-from weatherlake.functions.codec import decode_with_rejects
+from weatherlake.functions.codec import accepted, decode_with_rejects, rejected
 from weatherlake.operators import records, reports, windows
-from weatherlake.schemas import FLAT_TRANSFORMED, TRANSFORMED, TRANSFORMED_GEO
-from weatherlake.session import build_session
+from weatherlake.schemas import (
+    ENRICHED_READING, FLAT_READING, FLAT_TRANSFORMED, READING, TRANSFORMED, TRANSFORMED_GEO,
+)
+from weatherlake.session import build_session, checkpoint_root
 from weatherlake.sinks import files, topics
-from weatherlake.sources.files import read_alerts, read_history
+from weatherlake.sources.files import read_alerts, read_all_history, unreadable_alerts
 from weatherlake.sources.topics import batch_topic, stream_topic, topic_tail
 from weatherlake.streaming import jobs
+from weatherlake.streaming.metrics import TotalsListener, observe_alert_stream
 
 
 def _messages(spark: SparkSession, args) -> DataFrame:
@@ -41,51 +44,99 @@ def _send(df: DataFrame, args, output_mode: str = "append") -> DataStreamWriter:
     )
 
 
-def _run(spark: SparkSession, args, writer: DataStreamWriter) -> None:
-    query = jobs.start(spark, writer, args.job, args.checkpoint, available_now=args.available_now)
-    jobs.run_until_stopped(spark, query)
+def _rejects(spark: SparkSession, args) -> str:
+    return args.rejects or f"{checkpoint_root(spark).rstrip('/')}/rejected/{args.job}"
+
+
+def _run(spark: SparkSession, args, writer: DataStreamWriter, raw: DataFrame | None = None, schema=None) -> None:
+    """Run a job and, beside it, the query that keeps the messages it cannot decode; print the counters."""
+    totals = TotalsListener()
+    spark.streams.addListener(totals)
+    try:
+        queries = [jobs.start(spark, writer, args.job, args.checkpoint, available_now=args.available_now)]
+        if schema is not None:
+            letters = jobs.dead_letter_writer(raw, schema, _rejects(spark, args))
+            beside = args.checkpoint and f"{args.checkpoint}-rejected"
+            queries.append(jobs.start(spark, letters, f"{args.job}-rejected", beside, available_now=args.available_now))
+        if args.available_now:
+            for query in queries:
+                query.awaitTermination()
+        else:
+            jobs.run_until_stopped(spark, *queries)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(totals)
+    for name, counts in sorted(totals.totals.items()):
+        print(f"{name}: " + ", ".join(f"{n} {kind}" for kind, n in counts.items()))
+
+
+def _print_all(table: DataFrame) -> None:
+    """Every row, fetched partition by partition."""
+    print(" | ".join(table.columns))
+    for row in table.toLocalIterator():
+        print(" | ".join(str(value) for value in row))
 
 
 def classify(spark: SparkSession, args) -> None:
     raw = _messages(spark, args)
-    flat = args.shape == "flat"
-    _run(spark, args, _send(jobs.flat_classified_stream(raw) if flat else jobs.classified_stream(raw, args.carry_geo), args))
+    if args.shape == "flat":
+        _run(spark, args, _send(jobs.flat_classified_stream(raw), args), raw, FLAT_READING)
+    else:
+        schema = ENRICHED_READING if args.carry_geo else READING
+        _run(spark, args, _send(jobs.classified_stream(raw, args.carry_geo), args), raw, schema)
 
 
 def transform(spark: SparkSession, args) -> None:
-    _run(spark, args, _send(jobs.flat_transformed_stream(_messages(spark, args)), args))
+    raw = _messages(spark, args)
+    _run(spark, args, _send(jobs.flat_transformed_stream(raw), args), raw, FLAT_READING)
 
 
 def aggregate(spark: SparkSession, args) -> None:
-    aggregates = jobs.aggregates_stream(_messages(spark, args), args.window, args.slide, args.watermark)
-    _run(spark, args, _send(aggregates, args, "update"))
+    if not (args.watermark or args.unbounded):
+        raise SystemExit("give --watermark, or --unbounded to keep the state of every window for ever")
+    raw = _messages(spark, args)
+    aggregates = jobs.aggregates_stream(raw, args.window, args.slide, args.watermark)
+    _run(spark, args, _send(aggregates, args, "update"), raw, TRANSFORMED)
 
 
 def tumbling(spark: SparkSession, args) -> None:
     raw = batch_topic(spark, args.servers, args.input) if args.servers else spark.read.text(args.input)
-    flat = decode_with_rejects(raw, FLAT_TRANSFORMED)
-    files.write_json(windows.tumbling_aggregates(flat), args.output, "overwrite")
+    decoded = decode_with_rejects(raw, FLAT_TRANSFORMED)
+    files.write_json(windows.tumbling_aggregates(accepted(decoded)), args.output, "overwrite")
+    letters = rejected(decoded)
+    letters.write.mode("overwrite").text(_rejects(spark, args))
+    print(f"messages: {letters.count()} rejected")
 
 
 def store_alerts(spark: SparkSession, args) -> None:
     schema = TRANSFORMED_GEO if args.carry_geo else TRANSFORMED
-    decoded = decode_with_rejects(_messages(spark, args), schema)
-    _run(spark, args, files.alert_store_writer(decoded, args.output))
+    raw = _messages(spark, args)
+    classified = observe_alert_stream(jobs.decoded_stream(raw, schema))
+    _run(spark, args, files.alert_store_writer(classified, args.output), raw, schema)
 
 
 def high_wind(spark: SparkSession, args) -> None:
-    decoded = decode_with_rejects(_messages(spark, args), FLAT_TRANSFORMED)
-    _run(spark, args, jobs.high_wind_writer(decoded, args.output))
+    raw = _messages(spark, args)
+    _run(spark, args, jobs.high_wind_writer(jobs.decoded_stream(raw, FLAT_TRANSFORMED), args.output), raw, FLAT_TRANSFORMED)
 
 
 def climate_records(spark: SparkSession, args) -> None:
-    documents, unreadable = read_history(spark, args.input)
-    found = records.climate_records(records.explode_history(documents))
-    files.write_records(records.record_documents(found), args.output)
-    for row in unreadable.select("file").limit(20).collect():
-        print(f"skipped: {row.file}")
-    if args.servers:
-        topics.write_topic(topics.keyed_messages(records.record_messages(found)), args.servers, args.topic)
+    documents, unreadable = read_all_history(spark, args.input)
+    # One row per city, and two outputs.
+    found = records.climate_records(records.explode_history(documents)).persist()
+    try:
+        skipped = 0
+        for row in unreadable.select("file").toLocalIterator():
+            skipped += 1
+            print(f"skipped: {row.file}")
+        if found.isEmpty():
+            raise SystemExit(f"no usable history below {args.input} ({skipped} skipped)")
+        files.write_records(records.record_documents(found), args.output)
+        print(f"records: {found.count()} cities, {skipped} skipped")
+        if args.servers:
+            topics.write_topic(topics.keyed_messages(records.record_messages(found)), args.servers, args.topic)
+    finally:
+        found.unpersist()
 
 
 def report(spark: SparkSession, args) -> None:
@@ -100,11 +151,13 @@ def report(spark: SparkSession, args) -> None:
         ("alerts per city", reports.alerts_per_city(alerts)),
     ):
         print(title)
-        table.show(truncate=False)
+        _print_all(table)
+    print(f"unreadable lines: {unreadable_alerts(spark, args.input).count()}")
 
 
 def tail(spark: SparkSession, args) -> None:
-    _run(spark, args, jobs.console_writer(topic_tail(stream_topic(spark, args.servers, args.input, "earliest")), 20))
+    rows = topic_tail(stream_topic(spark, args.servers, args.input, "earliest"))
+    _run(spark, args, jobs.shared_writer(rows, jobs.print_batch))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -118,6 +171,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--servers")
         command.add_argument("--input", required=topic_in is None, default=topic_in)
         command.add_argument("--output", default=topic_out, required=topic_out is None and writes)
+        command.add_argument("--rejects", help="folder for messages that do not decode")
         if stream:
             command.add_argument("--starting", default="latest", choices=["latest", "earliest"])
             command.add_argument("--max-per-trigger", type=int)
@@ -133,6 +187,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--window", default=constants.SLIDING_WINDOW)
     command.add_argument("--slide", default=constants.SLIDING_STEP)
     command.add_argument("--watermark")
+    command.add_argument("--unbounded", action="store_true")
     add("tumbling", tumbling, constants.TOPIC_TRANSFORMED, stream=False)
     add("store-alerts", store_alerts, constants.TOPIC_TRANSFORMED).add_argument("--carry-geo", action="store_true")
     add("high-wind", high_wind, constants.TOPIC_TRANSFORMED)

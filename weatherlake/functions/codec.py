@@ -29,16 +29,20 @@ def parsed_columns(df: DataFrame, text: Column, schema: StructType, *keep: Colum
 
 
 def decode_with_rejects(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """``decode_json`` plus a column holding the text of messages that did not decode.
+    """``decode_json`` plus a column holding the text of messages that are no JSON object.
 
-    A missing or blank message is a reject too; its reject text is empty or blank.
+    A field whose value does not fit its type is NULL and the message is kept.  A missing or
+    blank message is a reject; its reject text is empty or blank.
     """
     text = F.col(value).cast("string")
     fields = parsed_columns(
         df, text, with_corrupt_column(schema), text.alias("_text"), columnNameOfCorruptRecord=CORRUPT_COLUMN
     )
     blank = F.coalesce(F.trim("_text"), F.lit("")) == ""
-    reject = F.when(blank, F.coalesce("_text", F.lit(""))).otherwise(F.col(CORRUPT_COLUMN))
+    # The parser marks misfit fields and broken text alike; only marked messages are looked at again.
+    is_object = F.ltrim("_text").startswith("{") & F.try_parse_json("_text").isNotNull()
+    broken = F.col(CORRUPT_COLUMN).isNotNull() & ~is_object
+    reject = F.when(blank, F.coalesce("_text", F.lit(""))).when(broken, F.col("_text"))
     return fields.withColumn(CORRUPT_COLUMN, reject).drop("_text")
 
 

@@ -16,7 +16,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join of a large table with a table that has one row per key.
+    """Inner join of a large table with a table that has one row per key; NULL keys match each other.
 
     While the lookup's measured size allows it Spark broadcasts it.  Beyond that AQE splits
     the shuffle partitions of hot keys, but only where both sides come straight from a
@@ -24,6 +24,6 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> Dat
     that shuffle, and one task would get the hot key whole; the hash as a further key
     keeps the shuffle (of the small side) in place.
     """
-    probe = F.xxhash64(*keys)
-    joined = facts.withColumn("_probe", probe).join(lookup.withColumn("_probe", probe), [*keys, "_probe"])
-    return joined.drop("_probe")
+    facts = facts.withColumn("_probe", F.xxhash64(*keys))
+    lookup = lookup.withColumn("_probe", F.xxhash64(*keys))
+    return join_null_safe(facts, lookup, [*keys, "_probe"]).drop("_probe")

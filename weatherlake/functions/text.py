@@ -9,8 +9,9 @@ from weatherlake.functions.levels import or_default
 
 
 def path_safe(name: str | Column) -> Column:
-    """A place name usable as one folder name: space and slash become underscores."""
-    return F.translate(name, " /", "__")
+    """A place name usable as one folder name: space and slash become underscores, an empty name ``Unknown``."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.translate(F.when(name == "", F.lit(UNKNOWN_PLACE)).otherwise(name), " /", "__")
 
 
 def contains_ignoring_case(text: str | Column, part: str | Column) -> Column:

@@ -27,7 +27,8 @@ def with_date_parts(climate: DataFrame) -> DataFrame:
 
 
 def clean_climate(climate: DataFrame) -> DataFrame:
-    return climate.na.drop(subset=["date", "station", "temperature"])
+    """Rows with date, station and temperature; NaN is a value here, only NULL is missing."""
+    return climate.filter(F.col("date").isNotNull() & F.col("station").isNotNull() & F.col("temperature").isNotNull())
 
 
 def years_and_stations(climate: DataFrame) -> DataFrame:
@@ -120,9 +121,14 @@ def _station_years(climate: DataFrame, measure: str) -> DataFrame:
     )
 
 
+def _located(per_station: DataFrame, stations: DataFrame) -> DataFrame:
+    """Folded station rows with their country; stations missing from the dimension are kept, marked."""
+    return per_station.join(stations.withColumn("_located", F.lit(True)), "station", "left")
+
+
 def precipitation_by_country_year(climate: DataFrame, stations: DataFrame) -> DataFrame:
-    per_station = _station_years(climate, "precipitation").join(stations, "station")
-    return per_station.groupBy("country", "year").agg(
+    per_station = _located(_station_years(climate, "precipitation"), stations)
+    return per_station.groupBy("country", "_located", "year").agg(
         F.sum("total").alias("total_precipitation"),
         F.try_divide(F.sum("total"), F.sum("n")).alias("avg_precipitation"),
     )
@@ -131,24 +137,27 @@ def precipitation_by_country_year(climate: DataFrame, stations: DataFrame) -> Da
 def precipitation_trend_country(
     climate: DataFrame, stations: DataFrame, country: str, years: int = TREND_YEARS
 ) -> DataFrame:
-    """Yearly precipitation of one country over the last years of the whole table."""
-    located = _last_years(precipitation_by_country_year(climate, stations), years)
-    return located.filter(F.col("country") == country)
+    """Yearly precipitation of one country over the last years of the whole table.
+
+    The last year counts all measurements, also those of stations without a country.
+    """
+    yearly = _last_years(precipitation_by_country_year(climate, stations), years)
+    return yearly.filter(F.col("_located") & (F.col("country") == country)).drop("_located")
 
 
 def _percent_of_world(grouped: DataFrame) -> DataFrame:
-    """Percent difference of each group's mean from the mean of all rows.
+    """Percent difference of each group's mean from the mean of all rows, NULL where that mean is 0.
 
     ``grouped`` holds one row per year or country with ``total`` and ``n``, so the window
     over all of it sees a few hundred rows at any data size.
     """
     everything = Window.partitionBy()
-    world = F.sum("total").over(everything) / F.sum("n").over(everything)
+    world = F.try_divide(F.sum("total").over(everything), F.sum("n").over(everything))
     mean = F.try_divide("total", "n")
     return grouped.select(
         *[name for name in grouped.columns if name not in ("total", "n")],
         mean.alias("avg_temperature"),
-        (F.lit(100.0) * (mean - world) / world).alias("pct_vs_world"),
+        F.try_divide(F.lit(100.0) * (mean - world), world).alias("pct_vs_world"),
     )
 
 
@@ -163,7 +172,7 @@ def temperature_vs_world_by_country(climate: DataFrame, stations: DataFrame) ->
     per_station = climate.groupBy("station").agg(
         F.sum("temperature").alias("total"), F.count("temperature").alias("n")
     )
-    located = per_station.join(stations, "station").groupBy("country").agg(
+    by_country = _located(per_station, stations).groupBy("country", "_located").agg(
         F.sum("total").alias("total"), F.sum("n").alias("n")
     )
-    return _percent_of_world(located)
+    return _percent_of_world(by_country).filter("_located").drop("_located")

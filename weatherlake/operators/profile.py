@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Values among which an exact quantile is picked directly.
-EXACT_LIMIT = 50_000
 # Accuracy of the sketch that narrows an exact quantile.
 SKETCH_ACCURACY = 10_000
-# Copies of one row written by one task.
-COPIES_PER_TASK = 1_000_000
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -69,114 +66,99 @@ def missing_by_column(df: DataFrame) -> DataFrame:
 
 
 def rows_after_cleaning(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    return row_count(df.na.drop(subset=list(required)))
+    """Rows without NULL in the required columns; NaN is a value."""
+    return row_count(reduce(lambda kept, name: kept.filter(F.col(name).isNotNull()), required, df))
 
 
 # --- quantiles --------------------------------------------------------------------------
 
 
-def approximate_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], error: float) -> list[float]:
-    """Quantiles within a relative rank error; error 0 means exact.
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    values = df.select(F.col(column).cast("double").alias("v"))
+    return values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _ranks(probabilities: Sequence[float], quantiles: Sequence[Column]) -> Column:
+    return F.array(
+        *[F.struct(F.lit(float(p)).alias("probability"), q.alias("quantile")) for p, q in zip(probabilities, quantiles)]
+    )
 
-    The sketch behind ``approxQuantile`` holds about 1/error values, but every value at
-    error 0, so the exact case narrows instead.
+
+def approximate_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], error: float) -> DataFrame:
+    """probability, quantile: quantiles within a relative rank error; error 0 means exact.
+
+    The sketch holds about 1/error values; for error 0 it only narrows the search.
     """
-    if error > 0:
-        return df.approxQuantile(column, list(probabilities), error)
-    return exact_quantiles(df, column, probabilities)
+    if error == 0:
+        return exact_quantiles(df, column, probabilities)
+    sketch = F.percentile_approx("v", list(map(float, probabilities)), math.ceil(1 / error))
+    found = _numbers(df, column).agg(sketch.alias("q")).filter(F.col("q").isNotNull())
+    return found.select(F.inline(_ranks(probabilities, [F.col("q")[i] for i in range(len(probabilities))])))
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], limit: int = EXACT_LIMIT
-) -> list[float]:
-    """Exact quantiles in a few scans, with only counts and bounds on the driver.
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """probability, quantile: the value at rank ceil(p * rows), in one plan.
 
-    All wanted ranks are searched together.  Each round asks a mergeable sketch for values
-    just around every open rank, counts the rows on either side of them exactly, and keeps
-    the interval that must hold the rank.  A round shrinks an interval to about
-    4/``SKETCH_ACCURACY`` of its rows, so 10^12 rows take three rounds.
+    One pass builds a sketch whose values enclose every wanted rank.  A second counts the rows below each
+    enclosure and the distinct values inside, about 4/``SKETCH_ACCURACY`` of the rows, among which
+    the rank is found by a running count.  Values are compared as doubles.
     """
-    values = df.select(F.col(column).cast("double").alias("v"))
-    values = values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    total = values.count()
-    if total == 0:
-        return []
-    searches = [_RankSearch(max(1, math.ceil(p * total)), total) for p in probabilities]
-    while any(search.open(limit) for search in searches):
-        wide = [search for search in searches if search.open(limit)]
-        sketches = values.agg(*[search.sketch().alias(f"s{i}") for i, search in enumerate(wide)]).first()
-        pivots = [sorted(set(sketches[f"s{i}"])) for i in range(len(wide))]
-        counts = values.agg(
-            *[
-                F.count_if(side).alias(f"c{i}_{j}_{name}")
-                for i, search_pivots in enumerate(pivots)
-                for j, pivot in enumerate(search_pivots)
-                for name, side in (("lt", F.col("v") < pivot), ("le", F.col("v") <= pivot))
-            ]
-        ).first()
-        for i, search in enumerate(wide):
-            for j, pivot in enumerate(pivots[i]):
-                search.narrow(pivot, counts[f"c{i}_{j}_lt"], counts[f"c{i}_{j}_le"])
-    # What is still open holds at most ``limit`` values per rank.
-    rest = {i: search for i, search in enumerate(searches) if search.answer is None}
-    if rest:
-        found = values.agg(*[search.pick().alias(f"q{i}") for i, search in rest.items()]).first()
-        for i, search in rest.items():
-            search.answer = found[f"q{i}"]
-    return [search.answer for search in searches]
-
-
-class _RankSearch:
-    """Open interval of values known to hold one rank."""
-
-    def __init__(self, rank: int, total: int):
-        self.rank = rank
-        self.below = 0  # rows at or under the lower bound
-        self.upto = total  # rows under the upper bound
-        self.lower: float | None = None
-        self.upper: float | None = None
-        self.answer: float | None = None
-
-    def open(self, limit: int) -> bool:
-        return self.answer is None and self.upto - self.below > limit
-
-    def inside(self) -> Column:
-        condition = F.lit(True)
-        if self.lower is not None:
-            condition = condition & (F.col("v") > self.lower)
-        if self.upper is not None:
-            condition = condition & (F.col("v") < self.upper)
-        return condition
-
-    def sketch(self) -> Column:
-        share = (self.rank - self.below) / (self.upto - self.below)
-        step = 2 / SKETCH_ACCURACY
-        around = [min(max(share + shift, 0.0), 1.0) for shift in (-step, 0.0, step)]
-        return F.percentile_approx(F.when(self.inside(), F.col("v")), around, SKETCH_ACCURACY)
-
-    def narrow(self, pivot: float, less: int, less_or_equal: int) -> None:
-        if less < self.rank <= less_or_equal:
-            self.answer = pivot
-        elif self.rank <= less and less <= self.upto:
-            self.upper, self.upto = pivot, less
-        elif less_or_equal < self.rank and less_or_equal >= self.below:
-            self.lower, self.below = pivot, less_or_equal
-
-    def pick(self) -> Column:
-        remaining = F.array_sort(F.collect_list(F.when(self.inside(), F.col("v"))))
-        return F.element_at(remaining, self.rank - self.below)
+    values = _numbers(df, column)
+    step = 2 / SKETCH_ACCURACY
+    around = [min(max(p + shift, 0.0), 1.0) for p in probabilities for shift in (-step, step)]
+    bounds = values.agg(F.count("*").alias("n"), F.percentile_approx("v", around, SKETCH_ACCURACY).alias("b"))
+
+    def edge(i: int, side: int) -> Column:
+        outside = probabilities[i] - step <= 0 if side == 0 else probabilities[i] + step >= 1
+        if outside:  # the search is open towards this end
+            return F.lit(float("-inf") if side == 0 else float("inf"))
+        return bounds.select(F.col("b")[2 * i + side]).scalar()
+
+    indexes = range(len(probabilities))
+    inside = [(F.col("v") >= edge(i, 0)) & (F.col("v") <= edge(i, 1)) for i in indexes]
+    below = values.agg(*[F.count_if(F.col("v") < edge(i, 0)).alias(f"below{i}") for i in indexes])
+    hits = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in indexes]))
+    near = values.select("v", F.explode(hits).alias("i")).groupBy("i", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    ranks = F.array(*[
+        F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * bounds.select("n").scalar())) - below.select(f"below{i}").scalar()
+        for i, p in enumerate(probabilities)
+    ])
+    reached = near.withColumn("upto", upto).filter(F.col("upto") >= F.element_at(ranks, F.col("i") + 1))
+    asked = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("i") + 1)
+    return reached.groupBy("i").agg(F.min("v").alias("quantile")).select(asked.alias("probability"), "quantile")
 
 
 def quantile_rows(df: DataFrame, column: str, probabilities: Sequence[float], errors: Sequence[float]) -> DataFrame:
-    """One row per error and probability."""
-    rows = [
-        (float(error), float(probability), value)
+    """One row per error and probability; no rows if there are no values."""
+    parts = [
+        approximate_quantiles(df, column, probabilities, error).select(F.lit(float(error)).alias("relative_error"), "*")
         for error in errors
-        for probability, value in zip(
-            probabilities, approximate_quantiles(df, column, probabilities, error), strict=False
-        )
     ]
-    return df.sparkSession.createDataFrame(rows, "relative_error DOUBLE, probability DOUBLE, quantile DOUBLE")
+    return reduce(DataFrame.union, parts)
+
+
+def rank_errors(df: DataFrame, column: str, probabilities: Sequence[float], error: float) -> DataFrame:
+    """Whether each approximate quantile lies within its rank error, give or take one row."""
+    values = _numbers(df, column)
+    sketch = F.percentile_approx("v", list(map(float, probabilities)), math.ceil(1 / error))
+    found = values.agg(sketch.alias("q"))
+    indexes = range(len(probabilities))
+    quantiles = [found.select(F.col("q")[i]).scalar() for i in indexes]
+    counted = values.agg(
+        F.count("*").alias("n"),
+        *[F.count_if(F.col("v") < quantiles[i]).alias(f"less{i}") for i in indexes],
+        *[F.count_if(F.col("v") <= quantiles[i]).alias(f"upto{i}") for i in indexes],
+    )
+    slack = error * F.col("n") + 1
+    within = [
+        (F.col(f"less{i}") <= float(p) * F.col("n") + slack) & (F.col(f"upto{i}") >= float(p) * F.col("n") - slack)
+        for i, p in enumerate(probabilities)
+    ]
+    rows = F.array(*[
+        F.struct(F.lit(float(p)).alias("probability"), ok.alias("within_error")) for p, ok in zip(probabilities, within)
+    ])
+    return counted.select(F.lit(float(error)).alias("relative_error"), F.inline(rows))
 
 
 # --- samples and bags -------------------------------------------------------------------
@@ -186,27 +168,16 @@ def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFr
     return df.sample(fraction=fraction, seed=seed)
 
 
+def sample_by_key(df: DataFrame, key: str, percent: int = 1) -> DataFrame:
+    """Rows whose key hashes into the first ``percent`` of 100 parts; the same rows every time."""
+    part = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 6), 16, 10).cast("int") % 100
+    return df.filter(part < percent)
+
+
 def union_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right)
 
 
-def bag_difference(left: DataFrame, right: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
-    """Rows of ``left`` minus rows of ``right``, copies counted (as ``exceptAll``).
-
-    Copies are counted map-side, so a row that fills a third of the table crosses the
-    shuffle once per task.  Writing its copies back is split over tasks as well.
-    """
-    columns = left.columns
-    zero = F.lit(0).cast("bigint")
-    signed = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    kept = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
-    few = kept.filter(F.col("_n") <= copies_per_task)
-    many = (
-        kept.filter(F.col("_n") > copies_per_task)
-        .withColumn("_part", F.explode(F.sequence(zero, F.floor((F.col("_n") - 1) / copies_per_task))))
-        .repartition(*columns, "_part")
-        .withColumn("_n", F.least(F.lit(copies_per_task), F.col("_n") - F.col("_part") * copies_per_task))
-        .drop("_part")
-    )
-    copies = few.unionByName(many)
-    return copies.withColumn("_copy", F.explode(F.sequence(zero + 1, F.col("_n")))).select(*columns)
+def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` minus rows of ``right``, copies counted."""
+    return left.exceptAll(right)

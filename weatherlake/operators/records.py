@@ -41,7 +41,8 @@ def days_in_history(documents: DataFrame) -> DataFrame:
 
 
 def complete_days(daily: DataFrame) -> DataFrame:
-    return daily.na.drop(subset=list(DAILY_MEASURES))
+    """Days on which no measure is NULL; NaN is a value here."""
+    return daily.filter(" AND ".join(f"{name} IS NOT NULL" for name in DAILY_MEASURES))
 
 
 def _extremes() -> list[Column]:

@@ -1,16 +1,13 @@
 """Trips from a log of riding / not riding states.
 
-Numbering needs the previous state and a running count per id.  A plain row window sorts
-all rows of one id in one task, which fails once a single id holds a large share of the
-table.  Ids above a row limit therefore take a second path: their rows are range-partitioned
-on the full sort order into even chunks, each chunk is numbered on its own, and what one
-chunk passes to the next (last state, trips so far) is worked out on a table with one row
-per chunk and id.  Both paths give the same answer.
+Numbering needs the previous state and a running count per id.  A plain row window would sort
+all rows of one id in one task.  Here an id's rows are cut into periods of its dates; each period is
+numbered on its own, and what one period passes to the next (last state, trips so far) is worked
+out on a table with one row per id and period.  One lazy plan serves every size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -20,16 +17,9 @@ from weatherlake.functions.joins import join_null_safe
 from weatherlake.functions.text import truth
 from weatherlake.functions.times import minutes_between, parse_time
 from weatherlake.operators.reports import sorted_by
-from weatherlake.session import checkpoint_root
 
-# Rows of one id that one task may sort, and rows per chunk beyond that.
-HOT_ROWS = 5_000_000
-CHUNK_ROWS = 2_000_000
-# An id is never hot below this share of the table, so there are at most this many.
-MAX_HOT_IDS = 10_000
-# Chunk edges are a few dozen bytes each; beyond this many they are joined by shuffle.
-BROADCAST_ROWS = 500_000
-TIE_SEED = 29
+# Dates that one task numbers together; any unit of ``date_trunc``.
+PERIOD = "day"
 
 # Column names of the ride log and of the numbering.
 STATE = "sur_velo_bool"
@@ -50,133 +40,49 @@ def _starts(change: Column) -> Column:
     return F.when((change == 1) & F.col(STATE), 1).otherwise(0)
 
 
-def _number_plain(rides: DataFrame, tie: Sequence[str]) -> DataFrame:
-    in_order = Window.partitionBy("id").orderBy("date", *tie, STATE)
-    by_date = Window.partitionBy("id").orderBy("date")
-    return (
-        rides.withColumn("changement", _changed(F.col(STATE), F.lag(STATE).over(in_order)))
-        .withColumn("debut_trajet", _starts(F.col("changement")))
-        .withColumn("numero_de_trajet", F.when(F.col(STATE), F.sum("debut_trajet").over(by_date)))
-    )
-
-
-def _hot_ids(rides: DataFrame, hot_rows: int) -> list[tuple]:
-    """Ids above the limit with their row counts; at most ``MAX_HOT_IDS`` by construction."""
-    limit = max(hot_rows, rides.count() // MAX_HOT_IDS)
-    counted = rides.groupBy("id").agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
-    return [(row["id"], row["rows"]) for row in counted.collect()]
-
+def number_trips(rides: DataFrame, tie: Sequence[str] = (), period: str = PERIOD) -> DataFrame:
+    """Add change flag, trip start flag and trip number to ``id, date, sur_velo_bool`` rows.
 
-def _number_in_chunks(rides: DataFrame, tie: Sequence[str], chunks: int) -> DataFrame:
-    checkpoint_root(rides.sparkSession)
-    order = ["date", *tie, STATE, "_tie"]
-    group = ["_chunk", "id"]
+    Rows of one id are taken in ``date`` order; ``tie`` names the columns that order rows
+    of the same date (the state itself comes last).  Rows of the same date share their
+    trip number, riding from the very first row is trip 0, and a row that is not riding
+    has no number.  A task holds the rows of one id and ``period``; rows without date come
+    first and form a period.
+    """
+    group = ["id", "_period"]
+    order = ["date", *tie, STATE]
     in_order = Window.partitionBy(*group).orderBy(*order)
-    by_date = Window.partitionBy(*group).orderBy("date")
-    # The random last key lets identical rows spread over chunks.  The checkpoint pins the
-    # chunk of every row: it is read twice below and must survive a lost executor.
     local = (
-        rides.withColumn("_tie", F.rand(TIE_SEED))
-        .repartitionByRange(chunks, "id", *order)
-        .withColumn("_chunk", F.spark_partition_id())
+        rides.withColumn("_period", F.date_trunc(period, "date"))
         .withColumn("_first", F.row_number().over(in_order) == 1)
         .withColumn("_change", _changed(F.col(STATE), F.lag(STATE).over(in_order)))
         .withColumn("_start", _starts(F.col("_change")))
-        .withColumn("_number", F.sum("_start").over(by_date))
-        .withColumn("_min_date", F.first("date").over(in_order))
-        .checkpoint()
+        .withColumn("_number", F.sum("_start").over(Window.partitionBy(*group).orderBy("date")))
     )
-
-    # One row per chunk and id: at most ``chunks`` + number of hot ids rows.
+    # One row per id and period.  All rows of a date are in one period, so a period's starts
+    # count for every row of the next.
     position = F.struct(*order)
     edges = local.groupBy(*group).agg(
-        F.min(position).alias("head"),
-        F.max(position).alias("tail"),
-        F.sum("_start").alias("starts"),
-        F.sum(F.when(F.col("date").eqNullSafe(F.col("_min_date")), F.col("_start"))).alias("head_starts"),
+        F.min(position).alias("head"), F.max(position).alias("tail"), F.sum("_start").alias("starts")
     )
-    along = Window.partitionBy("id").orderBy("_chunk")
+    along = Window.partitionBy("id").orderBy("_period")
     carried = (
-        edges.select(
-            *group,
-            "starts",
-            "head_starts",
-            F.col("head.date").alias("head_date"),
-            F.col("tail.date").alias("tail_date"),
-            F.col(f"head.{STATE}").alias(STATE),
-            F.lag(f"tail.{STATE}").over(along).alias("previous"),
-        )
+        edges.select(*group, "starts", f"head.{STATE}", F.lag(f"tail.{STATE}").over(along).alias("previous"))
         .withColumn("head_change", _changed(F.col(STATE), F.col("previous")))
         .withColumn("head_start", _starts(F.col("head_change")))
-        .withColumn("starts", F.col("starts") + F.col("head_start"))
-        .withColumn("head_starts", F.col("head_starts") + F.col("head_start"))
-        .withColumn("through", F.sum("starts").over(along))
-        # Rows of one date share their number, so a date that continues in later chunks
-        # also counts the starts it has there.
-        .withColumn(
-            "from_here",
-            F.sum("head_starts").over(
-                Window.partitionBy("id", "head_date").orderBy(F.desc("_chunk")).rowsBetween(
-                    Window.unboundedPreceding, 0
-                )
-            ),
-        )
-        .withColumn(
-            "after",
-            F.when(
-                F.lead("head_date").over(along).eqNullSafe(F.col("tail_date"))
-                & F.lead("_chunk").over(along).isNotNull(),
-                F.lead("from_here").over(along),
-            ).otherwise(0),
-        )
-        .select(
-            *group,
-            "tail_date",
-            "head_change",
-            "head_start",
-            (F.col("through") - F.col("starts") + F.col("head_start")).alias("before"),
-            "after",
-        )
+        .withColumn("through", F.sum(F.col("starts") + F.col("head_start")).over(along))
+        .select(*group, "head_change", "head_start", (F.col("through") - F.col("starts")).alias("before"))
     )
-    if chunks + MAX_HOT_IDS <= BROADCAST_ROWS:
-        carried = F.broadcast(carried)
     numbered = join_null_safe(local, carried, group).withColumns(
         {
             "changement": F.when(F.col("_first"), F.col("head_change")).otherwise(F.col("_change")),
             "debut_trajet": F.when(F.col("_first"), F.col("head_start")).otherwise(F.col("_start")),
-            "numero_de_trajet": F.when(
-                F.col(STATE),
-                F.col("before")
-                + F.col("_number")
-                + F.when(F.col("date").eqNullSafe(F.col("tail_date")), F.col("after")).otherwise(0),
-            ),
+            "numero_de_trajet": F.when(F.col(STATE), F.col("before") + F.col("_number")),
         }
     )
     return numbered.select(*rides.columns, *FLAGS)
 
 
-def number_trips(rides: DataFrame, tie: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add change flag, trip start flag and trip number to ``id, date, sur_velo_bool`` rows.
-
-    Rows of one id are taken in ``date`` order; ``tie`` names the columns that order rows
-    of the same date (the state itself comes last).  Rows of the same date share their
-    trip number, riding from the very first row is trip 0, and a row that is not riding
-    has no number.
-    """
-    hot = _hot_ids(rides, hot_rows)
-    if not hot:
-        return _number_plain(rides, tie)
-    id_type = rides.schema["id"].dataType.simpleString()
-    # A bounded list (see MAX_HOT_IDS), so Spark may broadcast it.
-    hot_ids = rides.sparkSession.createDataFrame([(key,) for key, _ in hot], f"hot_id {id_type}")
-    is_hot = F.col("id").eqNullSafe(F.col("hot_id"))
-    chunks = math.ceil(sum(rows for _, rows in hot) / chunk_rows)
-    chunked = _number_in_chunks(rides.join(hot_ids, is_hot, "left_semi"), tie, chunks)
-    plain = _number_plain(rides.join(hot_ids, is_hot, "left_anti"), tie)
-    return plain.unionByName(chunked)
-
-
 def trip_durations(numbered: DataFrame) -> DataFrame:
     """First and last riding row of every trip and the minutes between them."""
     return (
@@ -197,9 +103,10 @@ def trips_of(trips: DataFrame, id_value) -> DataFrame:
     return trips.filter(F.col("id") == F.lit(id_value)).orderBy("numero_de_trajet")
 
 
-def first_rider(rides: DataFrame):
-    """The smallest id that has a trip."""
-    return rides.filter(F.col(STATE)).agg(F.min("id")).first()[0]
+def rides_of_first_rider(rides: DataFrame) -> DataFrame:
+    """The rides of the smallest id that has a trip."""
+    first = rides.filter(F.col(STATE)).agg(F.min("id").alias("id"))
+    return rides.join(first, "id", "left_semi")
 
 
 def distinct_ids(rides: DataFrame) -> DataFrame:

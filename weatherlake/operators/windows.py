@@ -93,11 +93,13 @@ def sliding_aggregates_stream(
     return _finish(windowed)
 
 
+def _duration(interval: str) -> pd.Timedelta:
+    """Length of ``"5 minutes"`` or ``"interval 5 minutes"``; raises on what is no fixed length."""
+    return pd.Timedelta(interval.lower().removeprefix("interval").strip())
+
+
 def _whole_slides(window: str, slide: str) -> bool:
-    try:
-        return pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0)
-    except ValueError:
-        return False
+    return _duration(window) % _duration(slide) == pd.Timedelta(0)
 
 
 def sliding_aggregates(

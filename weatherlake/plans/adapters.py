@@ -7,8 +7,6 @@ Spark broadcasts a dimension while its size statistics allow it and shuffles oth
 
 from __future__ import annotations
 
-from weakref import WeakKeyDictionary
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.functions.codec import parsed_columns
@@ -25,17 +23,8 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 WANTED = ("urgent", "High", "MEDIUM", "specified", "low")
 
 
-# Scans already resolved, per session: listing files and reading a footer for the schema
-# costs more than a whole query on small tables.  The tables do not change.
-_SCANS: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    scans = _SCANS.setdefault(spark, {})
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in scans:
-        scans[path] = read_parquet(spark, path)
-    return scans[path]
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _null_every(n: int, key: str, value: Column) -> Column:
@@ -87,12 +76,32 @@ def readings(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> D
     )
 
 
+def measurements(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
+    """Flat readings of every event without their place, so without any join."""
+    events = measured_events(spark, sf_dir, wind_filtered)
+    return events.select("event_id", *[column.alias(name) for name, column in _measures().items()])
+
+
 def classified(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
     return with_alert_levels(readings(spark, sf_dir, wind_filtered))
 
 
-def transformed(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
-    return transform_flat(readings(spark, sf_dir, wind_filtered))
+def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat readings as JSON messages; some are cut short and some have a word for a number."""
+    whole = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("latitude"), "temperature", "windspeed",
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+    ))
+    mistyped = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("latitude"), "temperature", F.lit("calm").alias("windspeed"),
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+    ))
+    text = (
+        F.when(F.col("event_id") % 71 == 0, F.concat(F.lit('{"latitude": '), F.col("event_id").cast("string")))
+        .when(F.col("event_id") % 67 == 0, mistyped)
+        .otherwise(whole)
+    )
+    return measurements(spark, sf_dir).select(text.alias("value"))
 
 
 def partly_named(spark: SparkSession, sf_dir: str, wind_filtered: bool = False) -> DataFrame:
@@ -216,18 +225,21 @@ def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The station table; it lacks some stations that have measurements."""
     return (
         table(spark, sf_dir, "supplier")
+        .filter(F.col("s_suppkey") % 19 != 0)
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
         .select(F.col("s_suppkey").alias("station"), F.col("n_name").alias("country"))
     )
 
 
 def _request_of(key: str) -> list[Column]:
+    """City and country asked for; some requests name no country."""
     wanted = F.array(*[F.lit(name) for name in WANTED])
     return [
         F.concat(F.lit("place "), F.col(key).cast("string")).alias("requested_city"),
-        F.element_at(wanted, (F.col(key) % len(WANTED) + 1).cast("int")).alias("requested_country"),
+        _null_every(17, key, F.element_at(wanted, (F.col(key) % len(WANTED) + 1).cast("int"))).alias("requested_country"),
     ]
 
 

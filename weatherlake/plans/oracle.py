@@ -153,6 +153,7 @@ parts AS (
 stations AS (
   SELECT s.s_suppkey AS station, n.n_name AS country
   FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
+  WHERE s.s_suppkey % 19 <> 0
 )
 """
 
@@ -162,11 +163,12 @@ wanted AS (
 ),
 requests AS (
   SELECT c_custkey AS request_id, 'place ' || CAST(c_custkey AS VARCHAR) AS requested_city,
-         word AS requested_country
+         CASE WHEN c_custkey % 17 <> 0 THEN word END AS requested_country
   FROM customer JOIN wanted ON i = c_custkey % 5
 ),
 candidates AS (
-  SELECT 'place ' || CAST(o_custkey AS VARCHAR) AS requested_city, word AS requested_country,
+  SELECT 'place ' || CAST(o_custkey AS VARCHAR) AS requested_city,
+         CASE WHEN o_custkey % 17 <> 0 THEN word END AS requested_country,
          o_orderkey AS position, 'order ' || CAST(o_orderkey AS VARCHAR) AS name, o_orderpriority AS country,
          CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS country_code,
          o_totalprice AS latitude, -o_totalprice AS longitude,
@@ -251,7 +253,8 @@ ORACLE: dict[str, str] = {
     ),
     "basic_messages": _with(
         _READINGS,
-        """SELECT latitude, longitude, timezone, elevation, time AS fetched_at, temperature
+        """SELECT latitude, longitude, timezone, elevation, time AS fetched_at, temperature, windspeed,
+                  CAST(weathercode AS DOUBLE) AS weathercode, humidity, temperature - 1 AS apparent_temperature
            FROM nested WHERE has_current""",
     ),
     "incomplete_messages": _with(_READINGS, "SELECT event_id FROM nested WHERE NOT has_current"),
@@ -341,7 +344,10 @@ ORACLE: dict[str, str] = {
     "temperature_series": _series("temperature"),
     "wind_series": _series("windspeed"),
     "resolve_city": _with(
-        _PLACES, "SELECT request_id, resolved.* FROM requests JOIN resolved USING (requested_city, requested_country)"
+        _PLACES,
+        """SELECT request_id, resolved.* FROM requests JOIN resolved
+           ON requests.requested_city = resolved.requested_city
+              AND requests.requested_country IS NOT DISTINCT FROM resolved.requested_country""",
     ),
     "enrich_readings": _with(
         _PLACES,
@@ -359,6 +365,23 @@ ORACLE: dict[str, str] = {
                CASE WHEN event_id % 71 <> 0 THEN props END AS props,
                CASE WHEN event_id % 71 = 0 THEN '{"event_id": ' END AS reject
         FROM events""",
+    "classified_messages": _with(
+        _READINGS,
+        """SELECT CAST(event_id AS VARCHAR) AS latitude, temperature, wind AS windspeed,
+                  CASE WHEN wind < 10 THEN 'level_0' WHEN wind < 20 THEN 'level_1' ELSE 'level_2' END AS wind_alert_level,
+                  CASE WHEN temperature < 25 THEN 'level_0' WHEN temperature < 35 THEN 'level_1'
+                       ELSE 'level_2' END AS heat_alert_level
+           FROM (SELECT *, CASE WHEN event_id % 67 <> 0 THEN windspeed END AS wind FROM readings)
+           WHERE event_id % 71 <> 0""",
+    ),
+    "dead_letters": """
+        SELECT '{"latitude": ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 71 = 0""",
+    "encoded_messages": _with(
+        _READINGS,
+        """SELECT CAST(event_id AS VARCHAR) AS latitude, round(temp_f, 6) AS temp_f,
+                  CASE WHEN event_id % 67 <> 0 THEN high_wind_alert ELSE FALSE END AS high_wind_alert
+           FROM transformed WHERE event_id % 71 <> 0""",
+    ),
     "topic_tail_rows": """
         SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS key, CAST(json(props) AS VARCHAR) AS value
         FROM events""",
@@ -375,7 +398,9 @@ ORACLE: dict[str, str] = {
     "history_message_fields": _with(
         _DAILY,
         """SELECT country_code || '_' || city AS key, city, country, '' AS region, latitude, 'UTC' AS timezone,
-                  CAST(min(date) AS VARCHAR) AS first_day
+                  string_agg(CAST(date AS VARCHAR), ',' ORDER BY date) AS days,
+                  round(sum(temp_max), 2) AS max_total,
+                  CAST(greatest(count(*) - 3, 0) AS INTEGER) AS precipitation_days
            FROM daily GROUP BY city, country, country_code, latitude""",
     ),
     "recent_daily": _with(
@@ -395,7 +420,9 @@ ORACLE: dict[str, str] = {
     "record_messages": _with(
         _DAILY,
         """SELECT country_code || '_' || city AS key, CAST(hottest_day AS VARCHAR) AS hottest_date,
-                  CAST(NULL AS VARCHAR) AS total_period
+                  hottest_temp AS hottest, CAST(coldest_day AS VARCHAR) AS coldest_date, coldest_temp AS coldest,
+                  CAST(windiest_day AS VARCHAR) AS windiest_date, strongest_wind AS windiest,
+                  max_daily_precipitation AS max_daily, CAST(NULL AS VARCHAR) AS total_period
            FROM records""",
     ),
     "first_day_per_city": _with(
@@ -445,6 +472,27 @@ ORACLE: dict[str, str] = {
                (SELECT value FROM (SELECT value, row_number() OVER (ORDER BY value) AS rn FROM events)
                 WHERE rn = CAST(ceil(p * (SELECT count(value) FROM events)) AS BIGINT)) AS quantile
         FROM (VALUES (0.25), (0.5), (0.75)) q(p)""",
+    "quantiles_approximate": """
+        SELECT CAST(e AS DOUBLE) AS relative_error, CAST(p AS DOUBLE) AS probability, TRUE AS within_error
+        FROM (VALUES (0.25), (0.5), (0.75)) q(p), (VALUES (0.05), (0.01)) r(e)""",
+    "summary_all": "UNION ALL".join(
+        f"""
+        SELECT '{name}' AS summary, round(CAST({form.format(c='c_custkey')} AS DOUBLE), 4) AS c_custkey,
+               round(CAST({form.format(c='c_acctbal')} AS DOUBLE), 4) AS c_acctbal FROM customer """
+        for name, form in (
+            ("count", "count({c})"), ("mean", "avg({c})"), ("stddev", "stddev_samp({c})"), ("min", "min({c})"),
+            ("25%", "quantile_disc({c}, 0.25)"), ("50%", "quantile_disc({c}, 0.5)"), ("75%", "quantile_disc({c}, 0.75)"),
+            ("max", "max({c})"),
+        )
+    ),
+    "sample_1pct": """
+        SELECT event_id, event_type, value FROM events
+        WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 6) AS BIGINT) % 100 < 1""",
+    "schema_rows": """
+        SELECT column_name AS name,
+               CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS type,
+               "null" = 'YES' AS nullable
+        FROM (DESCRIBE customer)""",
     "corr_cov": """
         SELECT round(corr(value, user_id), 6) AS corr, round(covar_samp(value, user_id), 6) AS covar_samp
         FROM events""",
@@ -520,7 +568,7 @@ ORACLE: dict[str, str] = {
         _CLIMATE,
         """SELECT station, round(m, 6) AS avg_temperature, country
            FROM (SELECT station, avg(temperature) AS m FROM climate GROUP BY station
-                 ORDER BY m DESC, station LIMIT 5) JOIN stations USING (station)""",
+                 ORDER BY m DESC, station LIMIT 5) LEFT JOIN stations USING (station)""",
     ),
     "coldest_year": _COLDEST,
     "coldest_year_sql": _COLDEST,
@@ -560,3 +608,4 @@ ORACLE: dict[str, str] = {
            FROM parts JOIN stations USING (station) GROUP BY country""",
     ),
 }
+ORACLE["sliding_agg_stream_form"] = ORACLE["sliding_agg"]

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.constants import LEVEL_2, RIDE_TIME_FORMAT
-from weatherlake.functions.codec import decode_with_rejects
+from weatherlake.functions.codec import decode_with_rejects, rejected
 from weatherlake.functions.levels import or_default
 from weatherlake.functions.text import coordinate_key, place_key
 from weatherlake.functions.times import in_history_period, local_to_utc, parse_time
 from weatherlake.operators import alerts, climate, geo, profile, records, reports, trips, windows
 from weatherlake.plans import adapters
-from weatherlake.schemas import CORRUPT_COLUMN, struct
+from weatherlake.schemas import CORRUPT_COLUMN, FLAT_READING, struct
 from weatherlake.sources.topics import topic_tail
+from weatherlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +57,10 @@ def basic_messages(spark, sf_dir):
         "elevation",
         F.col("current.time").alias("fetched_at"),
         F.col("current.temperature_2m").alias("temperature"),
+        F.col("current.windspeed_10m").alias("windspeed"),
+        F.col("current.weathercode").alias("weathercode"),
+        F.col("current.relative_humidity_2m").alias("humidity"),
+        F.col("current.apparent_temperature").alias("apparent_temperature"),
     )
 
 
@@ -67,26 +72,27 @@ def incomplete_messages(spark, sf_dir):
 
 @query
 def classify_alerts(spark, sf_dir):
-    return adapters.classified(spark, sf_dir).select(
+    return alerts.with_alert_levels(adapters.measurements(spark, sf_dir)).select(
         "event_id", "temperature", "windspeed", "wind_alert_level", "heat_alert_level"
     )
 
 
 @query
 def classify_alerts_half_open(spark, sf_dir):
-    leveled = alerts.with_alert_levels(adapters.readings(spark, sf_dir), closed="left", null_level=LEVEL_2)
+    leveled = alerts.with_alert_levels(adapters.measurements(spark, sf_dir), closed="left", null_level=LEVEL_2)
     return leveled.select("event_id", "temperature", "windspeed", "wind_alert_level", "heat_alert_level")
 
 
 @query
 def flat_transform(spark, sf_dir):
-    flat = adapters.transformed(spark, sf_dir).select("event_id", "temp_f", "high_wind_alert")
+    flat = alerts.transform_flat(adapters.measurements(spark, sf_dir)).select("event_id", "temp_f", "high_wind_alert")
     return rounded(flat, "temp_f")
 
 
 @query
 def high_wind_alerts(spark, sf_dir):
-    return alerts.high_wind_rows(adapters.transformed(spark, sf_dir, wind_filtered=True)).select("event_id", "windspeed")
+    measured = adapters.measurements(spark, sf_dir, wind_filtered=True)
+    return alerts.high_wind_rows(alerts.transform_flat(measured)).select("event_id", "windspeed")
 
 
 @query
@@ -113,9 +119,16 @@ def sliding_agg(spark, sf_dir):
     return rounded(aggregates, "avg_temperature", "avg_windspeed", "avg_humidity")
 
 
+@query
+def sliding_agg_stream_form(spark, sf_dir):
+    """The streaming operator on a bounded table."""
+    aggregates = windows.sliding_aggregates_stream(adapters.classified(spark, sf_dir))
+    return rounded(aggregates, "avg_temperature", "avg_windspeed", "avg_humidity")
+
+
 @query
 def tumbling_agg(spark, sf_dir):
-    aggregates = windows.tumbling_aggregates(adapters.transformed(spark, sf_dir), time="event_time")
+    aggregates = windows.tumbling_aggregates(alerts.transform_flat(adapters.measurements(spark, sf_dir)), time="event_time")
     return rounded(aggregates, "avg_temp_c")
 
 
@@ -124,7 +137,7 @@ def tumbling_agg(spark, sf_dir):
 
 @query
 def alert_level_counts(spark, sf_dir):
-    return reports.alert_level_counts(adapters.classified(spark, sf_dir))
+    return reports.alert_level_counts(alerts.with_alert_levels(adapters.measurements(spark, sf_dir)))
 
 
 @query
@@ -149,7 +162,7 @@ def place_totals(spark, sf_dir):
 
 @query
 def reading_stats(spark, sf_dir):
-    return reports.reading_stats(adapters.readings(spark, sf_dir))
+    return reports.reading_stats(adapters.measurements(spark, sf_dir))
 
 
 @query
@@ -186,6 +199,26 @@ def json_round_trip(spark, sf_dir):
     return decoded.withColumnRenamed(CORRUPT_COLUMN, "reject")
 
 
+@query
+def classified_messages(spark, sf_dir):
+    """Decode and classify flat messages; a field of the wrong type is NULL."""
+    leveled = jobs.flat_classified_stream(adapters.reading_messages(spark, sf_dir))
+    return leveled.select("latitude", "temperature", "windspeed", "wind_alert_level", "heat_alert_level")
+
+
+@query
+def dead_letters(spark, sf_dir):
+    return rejected(decode_with_rejects(adapters.reading_messages(spark, sf_dir), FLAT_READING))
+
+
+@query
+def encoded_messages(spark, sf_dir):
+    """JSON messages of the transform job, read back field by field."""
+    sent = jobs.messages_of(jobs.flat_transformed_stream(adapters.reading_messages(spark, sf_dir)))
+    fields = sent.select(F.from_json("value", "latitude string, temp_f double, high_wind_alert boolean").alias("m"))
+    return rounded(fields.select("m.*"), "temp_f")
+
+
 @query
 def topic_tail_rows(spark, sf_dir):
     return topic_tail(adapters.messages(spark, sf_dir).select("offset", "key", F.col("props").alias("value")))
@@ -214,8 +247,10 @@ def history_message_fields(spark, sf_dir):
         "region",
         "latitude",
         "timezone",
-        F.element_at("historical_data.daily.time", 1).alias("first_day"),
-    )
+        F.array_join("historical_data.daily.time", ",").alias("days"),
+        F.aggregate("historical_data.daily.temperature_2m_max", F.lit(0.0), lambda a, b: a + F.coalesce(b, F.lit(0.0))).alias("max_total"),
+        F.size("historical_data.daily.precipitation_sum").alias("precipitation_days"),
+    ).withColumn("max_total", F.round("max_total", 2))
 
 
 @query
@@ -259,6 +294,12 @@ def record_messages(spark, sf_dir):
     return documents.select(
         place_key().alias("key"),
         F.get_json_object(message, "$.records.hottest_day.date").alias("hottest_date"),
+        F.get_json_object(message, "$.records.hottest_day.temperature").cast("double").alias("hottest"),
+        F.get_json_object(message, "$.records.coldest_day.date").alias("coldest_date"),
+        F.get_json_object(message, "$.records.coldest_day.temperature").cast("double").alias("coldest"),
+        F.get_json_object(message, "$.records.windiest_day.date").alias("windiest_date"),
+        F.get_json_object(message, "$.records.windiest_day.windspeed").cast("double").alias("windiest"),
+        F.get_json_object(message, "$.records.precipitation.max_daily").cast("double").alias("max_daily"),
         F.get_json_object(message, "$.records.precipitation.total_period").alias("total_period"),
     )
 
@@ -293,9 +334,9 @@ def riding_totals(spark, sf_dir):
 
 @query
 def trips_of_id(spark, sf_dir):
-    rides = adapters.rides(spark, sf_dir)
+    rides = trips.rides_of_first_rider(adapters.rides(spark, sf_dir))
     durations = trips.trip_durations(trips.number_trips(rides, tie=["event_id"]))
-    return rounded(trips.trips_of(durations, trips.first_rider(rides)), "duree_trajet_minutes")
+    return rounded(durations, "duree_trajet_minutes").orderBy("numero_de_trajet")
 
 
 @query
@@ -355,7 +396,7 @@ def summary_count_max(spark, sf_dir):
 
 @query
 def summary_all(spark, sf_dir):
-    return adapters.table(spark, sf_dir, "customer").summary()
+    return _numeric(adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").summary(), "c_custkey", "c_acctbal")
 
 
 @query
@@ -365,7 +406,9 @@ def quantiles(spark, sf_dir):
 
 @query
 def quantiles_approximate(spark, sf_dir):
-    return profile.quantile_rows(adapters.table(spark, sf_dir, "events"), "value", QUANTILES, errors=[0.05, 0.01])
+    """Whether the approximate quantiles keep their rank error."""
+    events = adapters.table(spark, sf_dir, "events")
+    return profile.rank_errors(events, "value", QUANTILES, 0.05).union(profile.rank_errors(events, "value", QUANTILES, 0.01))
 
 
 @query
@@ -407,7 +450,12 @@ def except_all(spark, sf_dir):
 
 @query
 def sample_1pct(spark, sf_dir):
-    return profile.sample_rows(adapters.table(spark, sf_dir, "events"))
+    return profile.sample_by_key(adapters.table(spark, sf_dir, "events"), "event_id").select("event_id", "event_type", "value")
+
+
+@query
+def schema_rows(spark, sf_dir):
+    return profile.describe_schema(adapters.table(spark, sf_dir, "customer")).select("name", "type", "nullable")
 
 
 @query
@@ -418,7 +466,7 @@ def missing_by_column(spark, sf_dir):
 
 @query
 def clean_count(spark, sf_dir):
-    return profile.rows_after_cleaning(adapters.readings(spark, sf_dir), ["temperature", "windspeed"])
+    return profile.rows_after_cleaning(adapters.measurements(spark, sf_dir), ["temperature", "windspeed"])
 
 
 @query

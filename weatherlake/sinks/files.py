@@ -15,8 +15,6 @@ from weatherlake.operators.alerts import alerts_to_store, stamp_saved
 from weatherlake.operators.records import stamp_computed
 
 PLACE_FOLDERS = ("country_path", "city_path")
-# Rows a driver-side frame may hold.
-PANDAS_LIMIT = 100_000
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
@@ -50,11 +48,10 @@ def append_alerts(classified: DataFrame, path: str) -> None:
 def alert_store_writer(classified: DataFrame, path: str) -> DataStreamWriter:
     """Writer that appends the alerts of a stream to the alert store, exactly once.
 
-    Every task writes its own file per place.  Where that makes too many small files, feed
-    ``append_alerts`` from ``streaming.jobs.shared_writer``: it rebalances each batch, at
-    least once.
+    Each batch is gathered by place first, so it adds one file per place; bound the rows of a
+    batch with the source's rate limit.
     """
-    alerts = stamp_saved(alerts_to_store(classified))
+    alerts = stamp_saved(alerts_to_store(classified)).repartition(*PLACE_FOLDERS)
     return alerts.writeStream.format("json").option("path", path).partitionBy(*PLACE_FOLDERS).outputMode("append")
 
 
@@ -78,8 +75,8 @@ def write_history(documents: DataFrame, path: str) -> None:
     _write_by_place(placed, path, "overwrite")
 
 
-def to_small_pandas(df: DataFrame, limit: int = PANDAS_LIMIT):
-    """Local frame of an aggregated result; refuses a larger one instead of cutting it."""
+def to_small_pandas(df: DataFrame, limit: int):
+    """Local frame of a result of at most ``limit`` rows; refuses a larger one instead of cutting it."""
     frame = df.limit(limit + 1).toPandas()
     if len(frame) > limit:
         raise ValueError(f"more than {limit} rows: aggregate further or write the table instead")

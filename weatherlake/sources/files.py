@@ -66,9 +66,30 @@ def read_history(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def read_history_store(spark: SparkSession, root: str) -> DataFrame:
-    """History documents written by ``sinks.files.write_history``: one document per line."""
-    return spark.read.schema(HISTORY_DOCUMENT).json(root)
+def read_history_store(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """History documents written by ``sinks.files.write_history`` (one per line), and the lines that are none."""
+    lines = (
+        spark.read.schema(with_corrupt_column(HISTORY_DOCUMENT))
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "part-*")
+        .json(root)
+        .withColumn("file", F.input_file_name())
+    )
+    usable = F.col(CORRUPT_COLUMN).isNull() & F.col("geocode_info").isNotNull() & F.col("historical_data").isNotNull()
+    bad = lines.filter(~usable).select("file", F.col(CORRUPT_COLUMN).alias("text"))
+    return lines.filter(usable).drop(CORRUPT_COLUMN, "file"), bad
+
+
+def read_all_history(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """``read_history`` and ``read_history_store`` together: both layouts may lie below ``root``."""
+    raw, bad_files = read_history(spark, root)
+    stored, bad_lines = read_history_store(spark, root)
+    return raw.unionByName(stored), bad_files.unionByName(bad_lines)
+
+
+def _alert_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of the store; an alert parses and has a place (the writer sees to that)."""
+    return spark.read.schema(with_corrupt_column(STORED_ALERT)).json(root)
 
 
 def read_alerts(
@@ -76,12 +97,22 @@ def read_alerts(
 ) -> DataFrame:
     """Stored alerts, all of them or (with both names) those of one city.
 
-    The names select folders, so one city reads only its own files.  ``datetime`` is the
-    parsed event time, NULL where the text is not a time.
+    The names select folders, so one city reads only its own files, and then the raw names, since
+    several names can share a folder.  Lines that are no alert are left out
+    (``unreadable_alerts`` gives them).  ``datetime`` is the parsed event time, NULL where the
+    text is not a time.
     """
-    alerts = spark.read.schema(STORED_ALERT).json(root)
+    alerts = _alert_lines(spark, root)
     if country and city:
         alerts = alerts.filter(
             (F.col("country_path") == path_safe(F.lit(country))) & (F.col("city_path") == path_safe(F.lit(city)))
+            & (F.col("country") == country) & (F.col("city") == city)
         )
+    alerts = alerts.filter(F.col(CORRUPT_COLUMN).isNull() & F.col("country").isNotNull()).drop(CORRUPT_COLUMN)
     return alerts.withColumn("datetime", parse_time("event_time"))
+
+
+def unreadable_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """Text and folders of the lines in the alert store that are no alert."""
+    bad = _alert_lines(spark, root).filter(F.col(CORRUPT_COLUMN).isNotNull() | F.col("country").isNull())
+    return bad.select("country_path", "city_path", F.col(CORRUPT_COLUMN).alias("text"))

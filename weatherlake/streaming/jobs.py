@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from weatherlake.constants import LEVEL_2, SLIDING_STEP, SLIDING_WINDOW
-from weatherlake.functions.codec import accepted, decode_with_rejects, encode_json
+from weatherlake.functions.codec import accepted, decode_with_rejects, encode_json, rejected
 from weatherlake.operators.alerts import (
     classify_flat_readings,
     classify_readings,
@@ -23,25 +23,38 @@ from weatherlake.operators.alerts import (
 )
 from weatherlake.operators.windows import sliding_aggregates_stream, with_computed_at, with_event_timestamp
 from weatherlake.schemas import ENRICHED_READING, FLAT_READING, READING, TRANSFORMED
-from weatherlake.session import checkpoint_root
-from weatherlake.streaming.metrics import observe_untimed
+from weatherlake.streaming.metrics import observe_alert_stream, observe_rejects, observe_untimed
+
+
+def decoded_stream(messages: DataFrame, schema: StructType) -> DataFrame:
+    """Messages that are JSON objects, fields of the wrong type as NULL.
+
+    Every batch reports received and rejected messages under the observation ``messages``;
+    ``dead_letter_writer`` keeps the rejected ones.
+    """
+    return accepted(observe_rejects(decode_with_rejects(messages, schema)))
+
+
+def dead_letter_writer(messages: DataFrame, schema: StructType, path: str) -> DataStreamWriter:
+    """Append the text of every message that is no JSON object, exactly once."""
+    letters = rejected(decode_with_rejects(messages, schema))
+    return letters.writeStream.format("text").option("path", path).outputMode("append")
 
 
 def classified_stream(messages: DataFrame, carry_geo: bool = False) -> DataFrame:
-    """Nested reading messages to classified readings; undecodable messages are left out
-    (``functions.codec.rejected`` gives them)."""
+    """Nested reading messages to classified readings; processed rows and alerts are counted."""
     schema = ENRICHED_READING if carry_geo else READING
-    return classify_readings(accepted(decode_with_rejects(messages, schema)), carry_geo)
+    return observe_alert_stream(classify_readings(decoded_stream(messages, schema), carry_geo))
 
 
 def flat_classified_stream(messages: DataFrame) -> DataFrame:
     """Flat reading messages classified with half-open levels; missing measures are level 2."""
-    readings = accepted(decode_with_rejects(messages, FLAT_READING))
+    readings = decoded_stream(messages, FLAT_READING)
     return classify_flat_readings(readings, closed="left", null_level=LEVEL_2)
 
 
 def flat_transformed_stream(messages: DataFrame) -> DataFrame:
-    return transform_flat(accepted(decode_with_rejects(messages, FLAT_READING)))
+    return transform_flat(decoded_stream(messages, FLAT_READING))
 
 
 def aggregates_stream(
@@ -57,7 +70,7 @@ def aggregates_stream(
     Readings without a usable event time fall into no window; every batch reports how many
     under the observation ``untimed``.
     """
-    readings = accepted(decode_with_rejects(messages, schema))
+    readings = decoded_stream(messages, schema)
     timed = observe_untimed(with_event_timestamp(readings, zone=zone))
     aggregates = sliding_aggregates_stream(timed, window, slide, "event_timestamp", watermark)
     return with_computed_at(aggregates)
@@ -99,6 +112,12 @@ def shared_writer(
     return df.writeStream.foreachBatch(write_batch).outputMode(output_mode)
 
 
+def print_batch(batch: DataFrame) -> None:
+    """Every row of a batch as JSON, fetched partition by partition."""
+    for row in encode_json(batch).toLocalIterator():
+        print(row.value)
+
+
 def show_batch(rows: int = 5) -> Callable[[DataFrame], None]:
     return lambda batch: batch.show(rows, truncate=False)
 
@@ -113,10 +132,14 @@ def start(
 ) -> StreamingQuery:
     """Start a query under its own checkpoint folder.
 
-    The default folder depends only on the name, so a restarted job goes on where the last
-    one stopped.  ``available_now`` works off what is there and ends.
+    The default folder is below ``spark.checkpoint.dir`` and depends only on the name, so a restarted
+    job goes on where the last one stopped; without that setting the folder must be named.
+    ``available_now`` works off what is there and ends.
     """
-    location = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/queries/{name}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not (checkpoint or root):
+        raise ValueError("name a checkpoint folder or set spark.checkpoint.dir")
+    location = checkpoint or f"{root.rstrip('/')}/queries/{name}"
     writer = writer.queryName(name).option("checkpointLocation", location)
     if available_now:
         writer = writer.trigger(availableNow=True)

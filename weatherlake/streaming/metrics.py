@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from weatherlake.functions.levels import is_alert
+from weatherlake.schemas import CORRUPT_COLUMN
 
 
 def _alert_counters():
@@ -29,6 +30,13 @@ def observe_untimed(readings: DataFrame, name: str = "untimed") -> DataFrame:
     return readings.observe(name, F.count_if(F.col("event_timestamp").isNull()).alias("untimed"))
 
 
+def observe_rejects(decoded: DataFrame, name: str = "messages") -> DataFrame:
+    """Count decoded messages and the rejects among them, under ``name``."""
+    return decoded.observe(
+        name, F.count("*").alias("received"), F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("rejected")
+    )
+
+
 def observe_sent(messages: DataFrame, observation: Observation) -> DataFrame:
     return messages.observe(observation, F.count("*").alias("sent"))
 
