@@ -28,6 +28,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The table, with the session set to send rows to Python in small batches.
+
+    Spark's default of 10,000 rows a batch is gigabytes where texts are long.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal doc_id modulo ``folds``; a missing id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

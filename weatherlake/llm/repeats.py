@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weatherlake.llm.common import keep
+from weatherlake.llm.common import in_small_batches, keep
 from weatherlake.llm.words import _mix, _powers, encoded, slices, text_batches
 from weatherlake.session import checkpoint_root
 
@@ -27,7 +27,7 @@ WINDOW = 100
 DEPTHS = (28, 64, WINDOW)
 PIECE = 1 << 20
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 1 << 16
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 LAST = (1 << 63) - 1
 _BYTES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACE = np.uint64((1 << 21) - 1)
@@ -75,7 +75,7 @@ def _requests(depth: int, shards: int):
     """Packed spans by shard; of equal content in a batch only the earliest, the others as ``copies``."""
 
     def run(batches):
-        for rows in (part for batch in batches for part in slices(batch, "content", 4 << 20)):
+        for rows in (part for batch in batches for part in slices(batch, "content", 2 << 20)):
             texts, names = rows.column("content").to_pylist(), (rows.column("doc_id").to_pylist(), rows.column("rid").to_pylist(), rows.column("at").to_pylist())
             parts, owners, bases = [], [], []
             for i, text in enumerate(texts):
@@ -197,7 +197,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null text is empty; texts under 100 bytes stay whole.  Other columns are left out.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = in_small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
     size = rows.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
     shards = int(max(4, -(-size // SHARD_BYTES)))
     # Bucketed by block: later joins with what belongs to a block do not shuffle the texts again.
