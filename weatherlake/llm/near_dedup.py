@@ -32,7 +32,7 @@ from weatherlake.llm.words import _mix, encoded, hashed_words, slices
 SHINGLE = 5
 BANDS, ROWS = 40, 5
 SIMILARITY = (4, 5)  # overlap / union of at least 4/5
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -268,14 +268,16 @@ def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) ->
             rank = F.col("_popular") if turn == 0 else F.xxhash64(F.lit(turn), "key", "node")
             chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "met", "label")).alias("_l"))
         else:
-            chosen = members.select("key", F.struct("node", "weight", "met", "label").alias("_l"))
-        chosen = chosen.select(
-            "key", F.col("_l.node").alias("a"), F.col("_l.weight").alias("_w"), F.col("_l.met").alias("_met"),
-            F.col("_l.label").alias("_label"),
-        )
+            # A pair is compared in the least bucket that it shares: none of the lower ones may be common.
+            keys = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
+            members = lookup_join(members, keys, ["node"])
+            members = members.withColumn("lower", F.filter("keys", lambda k: k < F.col("key")))
+            chosen = members.select("key", F.struct("node", "weight", "met", "label", "lower").alias("_l"))
+        chosen = chosen.select("key", F.col("_l.node").alias("a"), F.col("_l.weight").alias("_w"), F.col("_l.met").alias("_met"),
+                               F.col("_l.label").alias("_label"), *([F.col("_l.lower").alias("_lower")] if turn > LEADER_ROUNDS else []))
         pairs = lookup_join(members, chosen, ["key"]).filter(F.col("label") != F.col("_label"))
         if turn > LEADER_ROUNDS:
-            pairs = pairs.filter("a < node")
+            pairs = pairs.filter("a < node").filter(~F.arrays_overlap("lower", "_lower"))
         most = F.least("met", "_met")  # bounds the overlap, and is at most the smaller weight
         pairs = pairs.filter(most * den >= (F.col("weight") + F.col("_w") - most) * num)
         pairs = pairs.select("a", F.col("node").alias("b")).distinct()
