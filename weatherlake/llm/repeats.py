@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weatherlake.llm.common import in_small_batches, keep
-from weatherlake.llm.words import _mix, _powers, encoded, slices, text_batches
+from weatherlake.llm.words import _mix, _powers, encoded, give_back, slices, text_batches
 from weatherlake.session import checkpoint_root
 
 WINDOW = 100
@@ -75,7 +75,7 @@ def _requests(depth: int, shards: int):
     """Packed spans by shard; of equal content in a batch only the earliest, the others as ``copies``."""
 
     def run(batches):
-        for rows in (part for batch in batches for part in slices(batch, "content", 2 << 20)):
+        for rows in (part for batch in batches for part in slices(batch, "content", 1 << 20)):
             texts, names = rows.column("content").to_pylist(), (rows.column("doc_id").to_pylist(), rows.column("rid").to_pylist(), rows.column("at").to_pylist())
             parts, owners, bases = [], [], []
             for i, text in enumerate(texts):
@@ -109,6 +109,7 @@ def _requests(depth: int, shards: int):
             kinds = [pa.int32(), *[pa.binary()] * (len(FIELDS) + 1)]
             arrays = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(arrays, ["shard", *[f for f, _ in FIELDS], "copies"])
+        give_back()
 
     return run
 
@@ -130,7 +131,10 @@ def _settle(table: pa.Table) -> pa.Table:
     told = ~first | several
     rid, low, span = (np.concatenate([c[f][told].astype(np.int64), copies[i]]) for i, f in enumerate(("rid", "low", "span")))
     repeat = np.concatenate([~first[told], np.ones(copies.shape[1], dtype=bool)])
-    return pa.table({"rid": pa.array(rid), "low": pa.array(low), "span": pa.array(span, pa.int32()), "repeat": pa.array(repeat)})
+    found = {"rid": pa.array(rid), "low": pa.array(low), "span": pa.array(span, pa.int32()), "repeat": pa.array(repeat)}
+    del c, order, copies, rid, low, span
+    give_back()
+    return pa.table(found)
 
 
 def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -166,6 +170,7 @@ def _numbered(batches):
             place, filled = place + 1, filled + len(text)
         arrays = [pa.array(blocks, pa.int64()), pa.array(rids, pa.int64()), rows.column("doc_id"), pa.array(texts, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["block", "rid", "doc_id", "content"])
+    give_back()
 
 
 def _removed(left: pa.Table, right: pa.Table) -> pa.Table:

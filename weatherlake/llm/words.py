@@ -7,6 +7,8 @@ the end.  Work arrays are bounded by ``SLICE`` bytes, except where one word is l
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -98,6 +100,14 @@ def encoded(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
+def give_back() -> None:
+    """Return freed memory to the system; Python workers are reused and would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_batches(sizes: list[int], limit: int = 4 << 20):
     """Ranges of rows whose texts have about ``limit`` bytes together."""
     start, total = 0, 0
