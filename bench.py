@@ -1,4 +1,4 @@
-"""Time the registered queries and print one JSON line.
+"""Time all registered weather and climate queries and print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (tables), ``BENCH_CPUS`` (local cores), ``BENCH_RUNS`` (timed
 runs per query after one warm-up; the median counts), ``BENCH_QUERIES`` (comma-separated names).
@@ -18,21 +18,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from weatherlake.plans.queries import QUERIES  # noqa: E402
 from weatherlake.session import build_session  # noqa: E402
 
-HEADLINE = (
-    "flatten_reading classify_alerts flat_transform stored_alerts alerts_per_city sliding_agg tumbling_agg "
-    "alert_level_counts top_weathercode_by_country top_cities reading_stats temperature_series "
-    "resolve_city enrich_readings json_round_trip explode_history climate_records records_join_form "
-    "trip_numbers trip_durations riding_totals group_means quantiles corr_cov except_all "
-    "missing_by_column hot_days_by_year mean_by_year top5_stations busiest_station "
-    "precip_trend_country temp_pct_by_country"
-).split()
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
+    names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else sorted(QUERIES)
     spark = build_session(
         "weatherlake-bench",
         f"local[{cpus}]",
