@@ -1,17 +1,7 @@
 from __future__ import annotations
 
 import pytest
-
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu nu xi omicron pi rho sigma tau ups".split()
-
-
-def prose(seed: int, n: int) -> str:
-    """Repeatable pseudo-random words."""
-    import random
-
-    r = random.Random(seed)
-    return " ".join(r.choice(WORDS) + r.choice(["", "", "a", "b", "c"]) + str(r.randint(0, 60)) for _ in range(n))
-
+from samples import prose
 
 @pytest.fixture(scope="session")
 def odd_documents(spark):

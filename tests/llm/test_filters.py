@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from samples import prose
 
 from weatherlake.llm import near_dedup
 from weatherlake.llm.exact_dedup import exact_dedup
@@ -88,8 +89,6 @@ def test_near_duplicates_of_odd_rows(spark, odd_documents):
 
 def test_near_duplicates_in_chains_and_hot_groups(spark):
     """Neighbours in a chain are linked, its ends are not; copies with edits of their own share a base."""
-    from conftest import prose
-
     words = prose(11, 200).split()
     chain = [" ".join(words[:k] + prose(12, 200).split()[k:]) for k in range(0, 120, 8)]
     base = prose(13, 150).split()
@@ -136,8 +135,6 @@ def brute_repeats(rows):
 
 
 def test_repeats(spark):
-    from conftest import prose
-
     shared, line = prose(21, 60), prose(22, 18)
     rows = [(i, prose(30 + i, 40) + shared[i % 7 :] + prose(60 + i, 30)) for i in range(30)]
     rows += [(100 + i, prose(200 + i, 10) + line + prose(300 + i, 10)) for i in range(40)]
@@ -150,7 +147,6 @@ def test_repeats(spark):
 
 def test_repeats_cross_pieces_of_long_texts(spark, monkeypatch):
     """Pieces are cut anywhere; what stays must not depend on it."""
-    from conftest import prose
     from weatherlake.llm import repeats
 
     monkeypatch.setattr(repeats, "PIECE", 700)
@@ -174,8 +170,6 @@ def size(text):
 
 
 def test_mix_targets_and_shares(spark):
-    from conftest import prose
-
     rows = [(i, prose(i, 20 + i % 30), ["a", "b", "c", "d", None][min(i % 9, 4)]) for i in range(900)]
     rows += [(5000, "", "e"), (5001, None, "e"), (5002, "w " * 10, "tiny"), (None, "x y", "b")]
     found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
