@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from weatherlake.llm.common import in_small_batches
 from weatherlake.llm.words import slices
 
 # Fixed value: the pattern of byte-level pre-tokenization.
@@ -186,6 +187,6 @@ def encode_decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
     """
     with open(vocabulary, encoding="utf-8") as file:
         spec = df.sparkSession.sparkContext.broadcast(file.read())
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(_run(spec), f"doc_id {kind}, ids array<int>, decoded string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from weatherlake.functions.joins import lookup_join
-from weatherlake.llm.common import keep
+from weatherlake.llm.common import in_small_batches, keep
 from weatherlake.llm.words import slices, text_batches
 
 LEAST, MOST, BITS, PAD = 128, 8192, 9, 16
@@ -107,7 +107,7 @@ def _occurrences(digest_bytes: int):
 
 def recipes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """doc_id, recipe (verified chunk names in order), ordinals (of names with several contents), text_sha256."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     docs = rows.mapInArrow(_recipes(digest_bytes), f"doc_id {kind}, recipe array<binary>, text_sha256 string")
     docs = keep(docs, "recipes")

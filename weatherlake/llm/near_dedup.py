@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weatherlake.functions.joins import lookup_join
-from weatherlake.llm.common import keep, probe_join
+from weatherlake.llm.common import in_small_batches, keep, probe_join
 from weatherlake.llm.words import _mix, encoded, hashed_words, slices
 
 SHINGLE = 5
@@ -197,7 +197,7 @@ def near_duplicates(
     class, and of those with its id one is kept, by text digest; null ids lose to any other.  text_md5
     tells rows with equal ids apart.  Other columns are left out.
     """
-    source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    source = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_md5 string, node binary, weight long, bands array<long>"
     signed = source.withColumn("text_md5", F.md5(F.coalesce("_text", F.lit("")).cast("binary")))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weatherlake.llm.common import keep
+from weatherlake.llm.common import in_small_batches, keep
 from weatherlake.llm.words import LETTERS, encoded, hashed_words, slices
 
 STATISTICS = (
@@ -68,7 +68,7 @@ def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                 [rows.column("doc_id"), pa.array(stats, pa.list_(pa.float64()))], ["doc_id", "stats"]
             )
 
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, stats array<double>")
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from weatherlake.llm.common import in_small_batches
 from weatherlake.llm.words import LETTERS, encoded, hashed_words, slices
 
 BUCKETS, WIDTH_EACH = 1 << 18, 6
@@ -210,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
     order = F.xxhash64(F.lit(3), "doc_id")
     sample = labels.select("doc_id", F.col(label_col).cast("int").alias("_label")).na.drop()
     sample = sample.groupBy("doc_id").agg(F.max("_label").alias("_label")).orderBy(order, "doc_id").limit(rows)
-    texts = docs.select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
+    texts = in_small_batches(docs).select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
     texts = texts.filter(F.octet_length("_text") <= most_bytes)
     # Broadcast: the sample has at most ``rows`` rows of an id and a label.
     used = texts.join(F.broadcast(sample), "doc_id").orderBy(order, "doc_id", F.xxhash64("_text")).limit(rows)
@@ -240,7 +241,7 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
             arrays = [rows.column("doc_id"), pa.array(p), pa.array(cut, pa.float64()), pa.array(p >= cut, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "score", "threshold", "rejected"])
 
-    rows = docs.select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
+    rows = in_small_batches(docs).select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, score double, threshold double, rejected boolean")
 
@@ -258,4 +259,4 @@ def clean(docs: DataFrame, net: Network) -> DataFrame:
             cut = np.array([model.thresholds.get(x, common) for x in rows.column("lang").to_pylist()])
             yield rows.filter(pa.array(p < cut, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
