@@ -70,6 +70,24 @@ def test_toxicity_finds_planted_words():
     assert "en" in net.thresholds
 
 
+def test_toxicity_thresholds_use_all_labelled_rows(spark):
+    """A rare language and documents too long for the fit have thresholds too, those with most right decisions."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(900):
+        words = [f"w{rng.integers(400)}" for _ in range(600 if i % 10 == 0 else 40)]
+        if i % 3 == 0:
+            words[rng.integers(40)] = f"bad{rng.integers(3)}"
+        rows.append((i, " ".join(words), "rare" if i % 10 == 0 else "en", int(i % 3 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    net = toxicity.train(df, df.select("doc_id", "toxic"), rows=200, most_bytes=1000)
+    assert "rare" in net.thresholds
+    found = {r.doc_id: r for r in toxicity.score(df, net).collect()}
+    rare = [(found[i].score, t) for i, _, lang, t in rows if lang == "rare"]  # none of them is trained on
+    right = lambda cut: sum((p >= cut) == (t == 1) for p, t in rare)
+    assert right(net.thresholds["rare"]) >= max(right(c) for c in [0.05, 0.95] + [p for p, _ in rare if 0.05 < p < 0.95]) - 1
+
+
 def test_seating_keeps_customers_and_follows_the_process():
     rng = np.random.default_rng(1)
     seats = Seating(np.full(20_000, 3), np.ones(20_000, dtype=np.int64))

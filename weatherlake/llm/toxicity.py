@@ -4,7 +4,7 @@ Words are named by two hashes; a word's vector is the two embeddings side by sid
 words are confused only if both hashes meet.  Filters of several widths slide over the whole text, the maximum
 of each over all positions goes to a logistic output.  The fit uses a bounded sample of labelled rows
 on the driver; scoring runs in tasks.  A Platt scale makes the output a probability, and thresholds for
-rejection are set by language on rows left out of the fit.
+rejection are set by language, both from counts over all labelled rows that the fit did not train on.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ WIDTHS, FILTERS = (1, 2, 3), 12
 SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 60_000
 STEPS, BATCH, LEFT_OUT = 400, 64, 5
 LEAST_OF_LANGUAGE = 25
+# Logits are counted in bins of this width when scale and thresholds are set.
+BIN, MOST_LOGIT = 1 / 256, 40.0
 
 
 def word_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +79,11 @@ class Network:
         return 1.0 / (1.0 + np.exp(-np.clip(a * logits + b, -40, 40)))
 
 
-def _platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Newton steps for a, b of sigmoid(a x + b), with smoothed targets and a positive slope."""
-    n1, n0 = y.sum(), len(y) - y.sum()
+def _platt(logits: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> tuple[float, float]:
+    """Newton steps for a, b of sigmoid(a x + b), with smoothed targets and a positive slope; ``times`` counts each row."""
+    times = np.ones(len(y)) if times is None else times
+    n1 = (times * y).sum()
+    n0 = times.sum() - n1
     if not n1 or not n0:
         return 1.0, 0.0
     goal = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
@@ -87,17 +91,20 @@ def _platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(hessian, x.T @ (p - goal) + 1e-3 * (w - [1.0, 0.0])), -2, 2)
+        hessian = (x * (times * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        w = w - np.clip(np.linalg.solve(hessian, x.T @ (times * (p - goal)) + 1e-3 * (w - [1.0, 0.0])), -2, 2)
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The cut with most right decisions, midway between neighbouring scores, nearest to 0.5 in a tie."""
+def _threshold(p: np.ndarray, toxic: np.ndarray, harmless: np.ndarray) -> float:
+    """The cut with most right decisions, midway between neighbouring scores, nearest to 0.5 in a tie.
+
+    ``toxic`` and ``harmless`` count the rows of each score.
+    """
     order = np.argsort(p)
-    p, y = p[order], y[order]
+    p, toxic, harmless = p[order], toxic[order], harmless[order]
     cuts = np.concatenate([[0.0], (p[1:] + p[:-1]) / 2, [1.0]])
-    right = np.concatenate([[0], np.cumsum(1 - y)]) + y.sum() - np.concatenate([[0], np.cumsum(y)])
+    right = np.concatenate([[0], np.cumsum(harmless)]) + toxic.sum() - np.concatenate([[0], np.cumsum(toxic)])
     best = np.flatnonzero(right == right.max())
     return float(np.clip(cuts[best[np.argmin(np.abs(cuts[best] - 0.5))]], 0.05, 0.95))
 
@@ -114,9 +121,7 @@ def fit(docs: list[np.ndarray], y: np.ndarray, langs: list, seed: int = 11) -> N
     if not n or y.min() == y.max():
         net.offset = 4.0 if n and y.max() else -4.0
         return net
-    left = np.arange(n) % LEFT_OUT == 0
-    if len(set(y[left])) < 2 or len(set(y[~left])) < 2:
-        left[:] = False
+    left = ~trained_rows(y)
     train = np.flatnonzero(~left)
     weight = np.where(y > 0, np.sqrt((y == 0).sum() / max(1, (y > 0).sum())), 1.0)
     seen = [np.zeros((BUCKETS, 1), np.float32) for _ in range(2)]
@@ -186,41 +191,102 @@ def fit(docs: list[np.ndarray], y: np.ndarray, langs: list, seed: int = 11) -> N
     logits = np.concatenate([net.logits(docs[i], np.array([len(docs[i])])) for i in check])
     net.scale = _platt(logits, y[check])
     p, truth = net.probability(logits), y[check]
-    net.thresholds = {None: _threshold(p, truth)}
+    net.thresholds = {None: _threshold(p, truth, 1 - truth)}
     for lang in {langs[i] for i in check}:
         own = np.array([langs[i] == lang for i in check])
         if lang is not None and own.sum() >= LEAST_OF_LANGUAGE and 0 < truth[own].sum() < own.sum():
-            net.thresholds[lang] = _threshold(p[own], truth[own])
+            net.thresholds[lang] = _threshold(p[own], truth[own], 1 - truth[own])
     return net
 
 
+def trained_rows(y: np.ndarray) -> np.ndarray:
+    """Whether ``fit`` trains on each row; the others only check."""
+    left = np.arange(len(y)) % LEFT_OUT == 0
+    if len(set(y[left])) < 2 or len(set(y[~left])) < 2:
+        left[:] = False
+    return ~left
+
+
 def _words_of(batches):
     for rows in (part for batch in batches for part in slices(batch, "_text")):
         ids, counts = word_ids(encoded(rows.column("_text").to_pylist()))
         bounds = np.append(0, np.cumsum(counts)) * 2
         words = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.reshape(-1), pa.int32()))
-        arrays = [words, rows.column("_label"), rows.column("lang")]
-        yield pa.RecordBatch.from_arrays(arrays, ["words", "label", "lang"])
+        arrays = [rows.column("doc_id"), words, rows.column("_label"), rows.column("lang")]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "words", "label", "lang"])
+
+
+def _counted(shared):
+    def run(batches):
+        model = shared.value
+        for rows in (part for batch in batches for part in slices(batch, "_text", 1 << 19)):
+            ids, counts = word_ids(encoded(rows.column("_text").to_pylist()))
+            logits = np.clip(model.logits(ids, counts).astype(np.float64), -MOST_LOGIT, MOST_LOGIT)
+            arrays = [rows.column("doc_id"), rows.column("lang"), pa.array(np.floor(logits / BIN).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "bin"])
+
+    return run
+
+
+def calibrate(texts: DataFrame, labels: DataFrame, net: Network) -> None:
+    """Set scale and thresholds from the counts by language, bin of the logit and label of all rows with a label.
+
+    ``texts`` has doc_id, _text, lang; ``labels`` one row of doc_id and _label per id.  Without rows of both labels
+    the net stays as it is.
+    """
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    # Texts are scored before the join, so that only ids and bins are shuffled.
+    bins = texts.mapInArrow(_counted(texts.sparkSession.sparkContext.broadcast(net)), f"doc_id {kind}, lang string, bin int")
+    toxic = F.sum((F.col("_label") > 0).cast("long")).alias("toxic")
+    found = bins.join(labels, "doc_id").groupBy("lang", "bin").agg(toxic, F.count("*").alias("n")).toPandas()
+    positive, harmless = found["toxic"].to_numpy(np.float64), (found["n"] - found["toxic"]).to_numpy(np.float64)
+    if not positive.sum() or not harmless.sum():
+        return
+    middle = (found["bin"].to_numpy(np.float64) + 0.5) * BIN
+    y = np.repeat([1.0, 0.0], len(middle))
+    net.scale = _platt(np.tile(middle, 2), y, np.concatenate([positive, harmless]))
+
+    def cut(rows):
+        at, place = np.unique(middle[rows], return_inverse=True)
+        sums = [np.bincount(place, weights=v[rows]) for v in (positive, harmless)]
+        return _threshold(net.probability(at), *sums)
+
+    net.thresholds = {None: cut(np.ones(len(middle), dtype=bool))}
+    for lang in found["lang"].dropna().unique():
+        own = (found["lang"] == lang).to_numpy()
+        if positive[own].sum() + harmless[own].sum() >= LEAST_OF_LANGUAGE and positive[own].sum() and harmless[own].sum():
+            net.thresholds[lang] = cut(own)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Network:
     """Fit on at most ``rows`` labelled documents of at most ``most_bytes`` bytes, those with the least hash of their id.
 
     ``docs`` has doc_id, text, lang; ``labels`` has doc_id and the label.  Rows without id, text or label are not used.
+    Scale and thresholds come from all labelled documents of any length whose ids were not trained on.
     """
     order = F.xxhash64(F.lit(3), "doc_id")
-    sample = labels.select("doc_id", F.col(label_col).cast("int").alias("_label")).na.drop()
-    sample = sample.groupBy("doc_id").agg(F.max("_label").alias("_label")).orderBy(order, "doc_id").limit(rows)
+    known = labels.select("doc_id", F.col(label_col).cast("int").alias("_label")).na.drop()
+    known = known.groupBy("doc_id").agg(F.max("_label").alias("_label"))
+    sample = known.orderBy(order, "doc_id").limit(rows)
     texts = in_small_batches(docs).select("doc_id", F.col("text").alias("_text"), F.col("lang").cast("string").alias("lang"))
-    texts = texts.filter(F.octet_length("_text") <= most_bytes)
+    texts = texts.filter("_text is not null")
+    short = texts.filter(F.octet_length("_text") <= most_bytes)
     # Broadcast: the sample has at most ``rows`` rows of an id and a label.
-    used = texts.join(F.broadcast(sample), "doc_id").orderBy(order, "doc_id", F.xxhash64("_text")).limit(rows)
-    used = used.select("_text", "_label", "lang").mapInArrow(_words_of, "words array<int>, label int, lang string").toArrow()
+    used = short.join(F.broadcast(sample), "doc_id").orderBy(order, "doc_id", F.xxhash64("_text")).limit(rows)
+    kind = used.schema["doc_id"].dataType.simpleString()
+    used = used.select("doc_id", "_text", "_label", "lang")
+    used = used.mapInArrow(_words_of, f"doc_id {kind}, words array<int>, label int, lang string").toArrow()
     words = used.column("words").combine_chunks()
     flat, bounds = words.flatten().to_numpy().reshape(-1, 2), words.offsets.to_numpy() // 2
     bounds = bounds - bounds[0] if len(bounds) else bounds
     parts = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-    return fit(parts, np.array(used.column("label").to_pylist(), dtype=np.float32), used.column("lang").to_pylist())
+    y = np.array(used.column("label").to_pylist(), dtype=np.float32)
+    net = fit(parts, y, used.column("lang").to_pylist())
+    trained = {i for i, t in zip(used.column("doc_id").to_pylist(), trained_rows(y)) if t}
+    trained = docs.sparkSession.createDataFrame([(i,) for i in trained], f"doc_id {kind}")
+    # Broadcast: at most ``rows`` ids.
+    calibrate(texts, known.join(F.broadcast(trained), "doc_id", "left_anti"), net)
+    return net
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
