@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weatherlake.llm import quality, toxicity
-from weatherlake.llm.language_model import Seating, score_documents
+from weatherlake.llm.language_model import START, Seating, _binary, _pack, _pair_discount, score_documents
 from weatherlake.llm.queries import LLM_QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -145,3 +145,15 @@ def test_language_model_ranks_short_texts(spark):
     found = {r.doc_id: r.score for r in score_documents(df, F.col("train")).collect() if r.doc_id >= 100}
     assert 10 ** found[101] > 10 ** found[103] > 10 ** found[104]
     assert sum(10**s for s in found.values()) < 1.0
+
+
+def test_pair_discount_counts_every_shard(spark):
+    """Pairs once and twice of all shards, not of the first alone."""
+    def row(shard, words, counts):
+        n = len(words)
+        context = np.full(n, START, np.uint16)
+        return (shard, _binary(np.array(words, np.uint64)), _pack(np.ones(n, np.int64)), _binary(context), _pack(np.array(counts)))
+
+    rows = [row(0, [1, 2], [1, 2]), row(1, [11, 12, 13], [1, 1, 1]), row(1, [13, 14], [1, 2])]
+    df = spark.createDataFrame(rows, "shard int, words binary, per_word binary, context binary, trained binary")
+    assert _pair_discount(df) == pytest.approx(3 / (3 + 2 * 3))
