@@ -102,6 +102,30 @@ def test_seating_keeps_customers_and_follows_the_process():
     assert np.abs(share - weights / weights.sum()).max() < 0.015
 
 
+def test_sweep_seats_every_customer_and_keeps_the_seating():
+    """One sweep from one table brings a dish of 200 customers near its process; the customers may change."""
+    rng = np.random.default_rng(2)
+    small, fresh = Seating(np.full(20_000, 3), np.ones(20_000, dtype=np.int64)), np.full(20_000, 0.7)
+    for _ in range(12):
+        small.sweep(fresh, 0.4, rng)
+    weights = np.array([0.7 * 0.6 * 1.6, 3 * 0.49 * 0.6, 0.7**3])
+    share = np.bincount(small.tables(), minlength=4)[1:] / 20_000
+    assert np.abs(share - weights / weights.sum()).max() < 0.015
+    large = Seating(np.array([200] * 300 + [3000] * 3), np.ones(303, dtype=np.int64))
+    means = []
+    for _ in range(8):
+        large.sweep(np.full(303, 20.0), 0.7, rng)
+        sums = np.add.reduceat(large.sizes, large.starts)
+        assert (sums == large.customers).all() and (large.sizes > 0).all()
+        means.append(large.tables()[:300].mean())
+    assert means[0] > 0.7 * means[-1] > 10
+    changed = np.array([150] * 300 + [4000] * 3)
+    large.sweep(np.full(303, 20.0), 0.7, rng, changed)
+    assert (np.add.reduceat(large.sizes, large.starts) == changed).all()
+    again = Seating.of(large.sizes, changed)
+    assert (again.starts == large.starts).all()
+
+
 def base_scores(rows):
     texts = [(t or "").translate({c: c + 32 for c in range(65, 91)}) for _, t in rows]
     import re
