@@ -181,3 +181,9 @@ def test_pair_discount_counts_every_shard(spark):
     rows = [row(0, [1, 2], [1, 2]), row(1, [11, 12, 13], [1, 1, 1]), row(1, [13, 14], [1, 2])]
     df = spark.createDataFrame(rows, "shard int, words binary, per_word binary, context binary, trained binary")
     assert _pair_discount(df) == pytest.approx(3 / (3 + 2 * 3))
+
+
+def test_language_model_returns_perplexity(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, "c"), (3, "unseen a")], "doc_id long, text string")
+    for r in score_documents(df, F.col("doc_id") < 3).collect():
+        assert r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) and r.perplexity > 1
