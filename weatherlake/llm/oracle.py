@@ -90,9 +90,108 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM formed GROUP BY conv_id
 """
 
+# crc32 is worked out byte by byte: a step for each of the 256 byte values, then a fold over the bytes of a text.
+SPELLING = rf"""
+WITH RECURSIVE bits AS (
+  SELECT b AS byte, b::BIGINT AS c, 0 AS i FROM range(256) t(b)
+  UNION ALL SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i + 1 FROM bits WHERE i < 8
+), steps AS (
+  SELECT list(c ORDER BY byte) AS t FROM bits WHERE i = 8
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), pairs AS (
+  SELECT doc, run, count(*) AS n FROM runs GROUP BY doc, run
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+           lambda c, b: xor(c // 256, t[(xor(c, b) % 256 + 1)::BIGINT]))) AS h
+  FROM (SELECT *, hex(encode(doc || ':' || run)) AS x FROM pairs), steps
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN run[:(h % length(run))::BIGINT] || run[(h % length(run) + 2)::BIGINT:] ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(struct_pack(w := other, n := n), struct_pack(m := -n, w := other)) AS b
+  FROM near GROUP BY word
+), forms AS (
+  SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 2 * words.n THEN b.w END AS form,
+         CASE WHEN b.n >= 2 * words.n THEN b.n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS root, 0 AS i FROM forms
+  UNION ALL SELECT walk.word, forms.form, i + 1 FROM walk JOIN forms ON walk.root = forms.word AND forms.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(root, i) AS root FROM walk GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+LEAKS = rf"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS key, least(len(w), 10) AS size
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents
+), starts AS (
+  SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM docs, (SELECT DISTINCT size FROM windows)
+), found AS (
+  SELECT row, i, s.size, item FROM starts s JOIN windows k ON s.size = k.size AND array_to_string(w[i:i + s.size - 1], ' ') = key
+), hits AS (
+  SELECT row, count(DISTINCT pos) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS pos FROM found) GROUP BY row
+), named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT row, item FROM found WHERE item IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
+"""
+
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) t(k))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.g, c.k, c.f AS a, x.f AS l, y.f AS r, n, cut, 1000::HUGEINT * c.f * n // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM grams WHERE k > 1) c
+  JOIN grams x ON x.lang = c.lang AND x.g = c.g[:cut] JOIN grams y ON y.lang = c.lang AND y.g = c.g[cut + 1:]
+  JOIN sizes ON sizes.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, cut) = 1
+), inner_of AS (
+  SELECT lang, g[i:j] AS g, max(f) AS longer
+  FROM (SELECT lang, g, k, f, i, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM grams WHERE k > 2))
+  WHERE j - i + 1 < k GROUP BY ALL
+), ranked AS (
+  SELECT c.*, array_to_string(c.g, ' ') AS phrase FROM cuts c
+  LEFT JOIN inner_of o ON o.lang = c.lang AND o.g = c.g WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked QUALIFY rank <= 2000
+"""
+
 LLM_ORACLE = {
     "op1_exact_dedup": EXACT,
     "op4_topk_search": TOP,
     "op6_source_mix": MIX,
     "op8_chat_format": CHAT,
+    "op11_spelling": SPELLING,
+    "op12_decontamination": LEAKS,
+    "op13_collocations": PHRASES,
 }

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm.bpe import encode_decode
 from weatherlake.llm.chat import chat_digests, format_chats
+from weatherlake.llm.collocations import collocations
 from weatherlake.llm.common import fold_of, keep, table
+from weatherlake.llm.decontaminate import find_benchmark_passages
 from weatherlake.llm.exact_dedup import exact_dedup
 from weatherlake.llm.language_model import score_documents
 from weatherlake.llm.mixing import mix
 from weatherlake.llm.repeats import remove_repeats
 from weatherlake.llm import quality, toxicity
 from weatherlake.llm.near_dedup import near_duplicates
+from weatherlake.llm.spelling import spelling_forms, vocabulary
 from weatherlake.llm.topk import top_k
 
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -94,6 +97,23 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 7) != 2)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -105,4 +125,7 @@ LLM_QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_model": op10_language_model,
+    "op11_spelling": op11_spelling,
+    "op12_decontamination": op12_decontamination,
+    "op13_collocations": op13_collocations,
 }
