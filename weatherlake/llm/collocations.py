@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -29,7 +30,10 @@ BEST = 2000
 SHARE = 100  # percent of a phrase's occurrences in a longer one that make it superfluous
 BITS = 25  # the bitmap of frequent phrases has 2**BITS bits, 4 MB
 PIECE = 1 << 20
+SLICE = 8 << 20  # bytes of text, of all languages, held by a task
 SALTS = 64
+HOT = 256  # the counter of a prefix with more than one in so many words is dealt out over all bundles
+BUNDLES = 4  # bundles of counters in a shuffle partition
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # A-Z are lower-cased, what ends a piece becomes a line end, a tab a space.
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
@@ -49,28 +53,43 @@ def _crc(words: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(w) for w in words.to_pylist()], dtype=np.uint64)
 
 
-def _stripe_rows(lang: str, prefixes: pa.Array, ends: np.ndarray, nexts: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+def _bundled(
+    lang: str, bundles: np.ndarray, prefixes: pa.Array, prefix: np.ndarray, nexts: pa.Array, counts: np.ndarray
+) -> pa.RecordBatch:
+    """Counters from cells (bundle, number of the prefix, next word, count), one row per bundle of prefixes."""
+    order = np.lexsort((prefix, bundles))
+    bundles, prefix = bundles[order], prefix[order]
+    row = np.concatenate(([True], bundles[1:] != bundles[:-1]))
+    stripe = np.concatenate(([True], prefix[1:] != prefix[:-1])) | row
+    cells = pa.array(np.append(np.flatnonzero(row), len(order)).astype(np.int32))
+    held = np.cumsum(stripe)
+    before = held[row] - 1  # stripes ahead of each row's
+    stripes = pa.array(np.append(before, held[-1]).astype(np.int32))
+    of = held - 1 - np.repeat(before, np.diff(cells.to_numpy()))
     return pa.RecordBatch.from_pydict({
-        "lang": pa.repeat(pa.scalar(lang), len(prefixes)),
-        "prefix": prefixes,
-        "nexts": pa.ListArray.from_arrays(offsets, nexts),
-        "counts": pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+        "lang": pa.repeat(pa.scalar(lang), len(before)),
+        "bundle": pa.array(bundles[row].astype(np.int32)),
+        "prefixes": pa.ListArray.from_arrays(stripes, prefixes.take(pa.array(prefix[stripe]))),
+        "of": pa.ListArray.from_arrays(cells, pa.array(of.astype(np.int32))),
+        "nexts": pa.ListArray.from_arrays(cells, nexts.take(pa.array(order))),
+        "counts": pa.ListArray.from_arrays(cells, pa.array(counts[order].astype(np.int32))),
     })
 
 
-def _stripes_of(lang: str, texts: list[bytes], k: int, frequent: np.ndarray | None) -> pa.RecordBatch | None:
-    """Counters of the words behind each prefix of ``k - 1`` words."""
+def _stripes_of(lang: str, texts: list[bytes], k: int, frequent, hot: list[str], bundles: int) -> pa.RecordBatch | None:
+    """Counters of the words behind each prefix of ``k - 1`` words; those of hot prefixes are dealt out by next word."""
     buf = np.frombuffer(b"\n".join(texts).translate(_TABLE), dtype=np.uint8)
     ids, words, starts, _ = numbered(buf, (buf != 0x20) & (buf != 0x0A))
     if k == 1:  # the cell without a word holds the number of all words
         nexts = pa.concat_arrays([words.cast(pa.string()), pa.nulls(1, pa.string())])
         counts = np.append(np.bincount(ids, minlength=len(words)), len(ids))
-        return _stripe_rows(lang, pa.array([""]), np.array([len(nexts)]), nexts, counts)
+        dealt = np.append(_crc(words).astype(np.int64) % bundles, 0)
+        return _bundled(lang, dealt, pa.array([""]), np.zeros(len(nexts), dtype=np.int64), nexts, counts)
     if len(ids) < k:
         return None
     piece = np.cumsum(buf == 0x0A, dtype=np.int32)[starts]
-    marks = _crc(words)[ids]
+    crcs = _crc(words)
+    marks = crcs[ids]
     n = len(ids) - k + 2  # phrases of k - 1 words
     bits = _positions(lang, [marks[t : t + n] for t in range(k - 1)])
     known = (frequent[bits >> 3] >> (bits & 7)) & 1 == 1
@@ -85,8 +104,11 @@ def _stripes_of(lang: str, texts: list[bytes], k: int, frequent: np.ndarray | No
     held, first = np.unique(prefix, return_index=True)
     parts = [words.take(pa.array(ids[at[first] + t])) for t in range(k - 1)]
     prefixes = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())).cast(pa.string())
-    ends = np.searchsorted(cells // many, held, side="right")
-    return _stripe_rows(lang, prefixes, ends, words.take(pa.array(cells % many)).cast(pa.string()), counts)
+    of, following = np.searchsorted(held, cells // many), cells % many
+    split = pc.is_in(prefixes, value_set=pa.array(hot, pa.string())).to_numpy(zero_copy_only=False)
+    own = _positions(lang, [crcs[ids[at[first] + t]] for t in range(k - 1)])
+    dealt = (own[of] + np.where(split[of], crcs[following].astype(np.int64), 0)) % bundles
+    return _bundled(lang, dealt, prefixes, of, words.take(pa.array(following)).cast(pa.string()), counts)
 
 
 def _pieces(text: bytes):
@@ -99,25 +121,26 @@ def _pieces(text: bytes):
         at = end
 
 
-def _stripes(k: int, bitmap):
+def _stripes(k: int, bitmap, hot: dict[str, list[str]], bundles: int):
     def run(batches):
         frequent = None if bitmap is None else np.frombuffer(bitmap.value, dtype=np.uint8)
+        slices: dict[str, list[bytes]] = {}
+        sizes: Counter = Counter()
+
+        def counted(lang):
+            rows = _stripes_of(lang, slices.pop(lang), k, frequent, hot.get(lang, []), bundles)
+            sizes[lang] = 0
+            return [] if rows is None or not rows.num_rows else [rows]
+
         for batch in batches:
-            slices: dict[str, list[bytes]] = {}
-            sizes: dict[str, int] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("_text").to_pylist()):
                 for part in _pieces(text):
                     slices.setdefault(lang, []).append(part)
-                    sizes[lang] = sizes.get(lang, 0) + len(part)
-                    if sizes[lang] > 8 * PIECE:
-                        rows = _stripes_of(lang, slices.pop(lang), k, frequent)
-                        sizes[lang] = 0
-                        if rows is not None:
-                            yield rows
-            for lang, texts in slices.items():
-                rows = _stripes_of(lang, texts, k, frequent)
-                if rows is not None:
-                    yield rows
+                    sizes[lang] += len(part)
+                    if sizes.total() >= SLICE:
+                        yield from counted(max(sizes, key=sizes.get))
+        for lang in list(slices):
+            yield from counted(lang)
         give_back()
 
     return run
@@ -149,20 +172,28 @@ def merged_stripes(docs: DataFrame, longest: int = LONGEST, least: int = LEAST_C
 
     For k = 1 the prefix is empty, and the cell without a next word holds the number of all words of the language.
     """
+    schema = "lang string, bundle int, prefixes array<string>, of array<int>, nexts array<string>, counts array<int>"
+    bundles = BUNDLES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = in_small_batches(docs).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("_text")
     )
     levels: list[DataFrame] = []
     for k in range(1, longest + 1):
-        bitmap = None
+        bitmap, hot = None, {}
         if levels:
             frequent = levels[-1].filter(F.col("phrase").isNotNull())
             if frequent.isEmpty():
                 break
             bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(frequent))
-        stripes = rows.mapInArrow(_stripes(k, bitmap), "lang string, prefix string, nexts array<string>, counts array<long>")
-        cells = stripes.select("lang", "prefix", F.inline(F.arrays_zip("nexts", "counts")))
-        merged = cells.groupBy("lang", "prefix", F.col("nexts").alias("next")).agg(F.sum("counts").alias("f"))
+            total = levels[0].filter(F.col("next").isNull()).agg(F.sum("f")).first()[0]
+            # At most HOT phrases of one length reach this share of all words.
+            for row in frequent.filter(F.col("f") * HOT >= total).select("lang", "phrase").collect():
+                hot.setdefault(row.lang, []).append(row.phrase)
+        # The counters travel whole; their cells are added up where they arrive, without another shuffle.
+        stripes = rows.mapInArrow(_stripes(k, bitmap, hot, bundles), schema).repartition("lang", "bundle")
+        cells = stripes.select("lang", "bundle", "prefixes", F.inline(F.arrays_zip("of", "nexts", "counts")))
+        cells = cells.select("lang", "bundle", F.element_at("prefixes", F.col("of") + 1).alias("prefix"), F.col("nexts").alias("next"), "counts")
+        merged = cells.groupBy("lang", "bundle", "prefix", "next").agg(F.sum("counts").alias("f"))
         phrase = F.when(F.lit(k == 1), F.col("next")).otherwise(F.concat("prefix", F.lit(" "), "next"))
         held = merged.filter((F.col("f") >= least) | F.col("next").isNull())
         levels.append(keep(held.select("lang", F.lit(k).alias("k"), "prefix", "next", phrase.alias("phrase"), "f"), f"stripes{k}"))
