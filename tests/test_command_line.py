@@ -6,7 +6,7 @@ import pytest
 from helpers import bag
 
 from weatherlake.__main__ import main
-from weatherlake.sources.files import read_alerts
+from weatherlake.sources.files import read_alerts, read_history
 
 
 def _lines(folder, *rows):
@@ -93,6 +93,47 @@ def test_jobs_keep_what_they_cannot_decode(spark, tmp_path, capsys):
     assert "4 received, 3 rejected" in capsys.readouterr().out
 
 
+def test_tumbling_job_counts_in_the_write(spark, tmp_path, capsys):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "part.txt").write_text('{"temperature": 10.0, "time": "2025-01-01T10:00"}\nno json\n')
+    for _ in range(2):  # a run without a record replaces the last one
+        main(["tumbling", "--input", str(folder), "--output", str(tmp_path / "out"), "--rejects", str(tmp_path / "bad")], spark)
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
+    assert [row.value for row in spark.read.text(str(tmp_path / "bad")).collect()] == ["no json"]
+    assert "2 received, 1 rejected" in capsys.readouterr().out
+
+
+def test_history_job(spark, tmp_path, capsys):
+    documents = {
+        "Lyon": {"geocode_info": {"city": "Lyon", "country": "France", "country_code": "FR", "admin1": "R"},
+                 "historical_data": {"latitude": 1.0, "timezone": "UTC", "daily": {"time": ["2025-01-01"]}}},
+        "Partial": {"geocode_info": {"city": "x"}},
+    }
+    for name, document in documents.items():
+        folder = tmp_path / "in" / name
+        folder.mkdir(parents=True)
+        (folder / "weather_history_raw.json").write_text(json.dumps(document, indent=1))
+    for _ in range(2):
+        main(["history", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--store", str(tmp_path / "store"),
+              "--rejects", str(tmp_path / "bad"), "--available-now", "--checkpoint", str(tmp_path / "c")], spark)
+    sent = spark.read.json(str(tmp_path / "out"))
+    assert bag(sent.select("city", "region", "historical_data.timezone")) == [("Lyon", "R", "UTC")]
+    assert sent.filter("timestamp is null").count() == 0
+    stored, _ = read_history(spark, str(tmp_path / "store"))
+    assert [row.geocode_info.city for row in stored.collect()] == ["Lyon"]
+    assert ["Partial" in row.value for row in spark.read.text(str(tmp_path / "bad")).collect()] == [True]
+    assert "2 received, 1 rejected" in capsys.readouterr().out
+
+
+def test_aggregate_job_sends_closed_windows_once(spark, tmp_path, capsys):
+    row = {"latitude": 1.0, "longitude": 2.0, "temperature": 1.0}
+    folder = _lines(tmp_path / "in", *[row | {"event_time": f"2025-01-01T{hour}:00:00"} for hour in ("10", "12")])
+    main(["aggregate", "--closed", "--watermark", "10 minutes", "--input", folder, "--output", str(tmp_path / "out"), "--available-now",
+          "--checkpoint", str(tmp_path / "c"), "--rejects", str(tmp_path / "bad")], spark)
+    assert {(r.window_start[11:13], r.total_measurements) for r in spark.read.json(str(tmp_path / "out")).collect()} == {("09", 1), ("10", 1)}
+
+
 def test_reports_are_not_cut(spark, tmp_path, capsys):
     rows = [_reading(25, 40, f"City{i:02d}") | {"country": f"Country{i:02d}"} for i in range(30)]
     raw, store = _lines(tmp_path / "raw", *rows), str(tmp_path / "store")

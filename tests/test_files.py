@@ -88,13 +88,56 @@ def test_history_store_replaces_only_the_cities_it_gets(spark, tmp_path):
     documents = adapters.history_documents(spark, SF_DIR)
     sinks.write_history(documents, path)
     sinks.write_history(documents.filter("geocode_info.city = 'NATION_3'"), path)
-    stored, bad = sources.read_history_store(spark, path)
+    stored, bad = sources.read_history(spark, path)
     assert bad.count() == 0
     assert stored.count() == documents.count()
     columns = schemas.DAILY.fieldNames()
     assert bag(records.explode_history(stored).select(columns)) == bag(records.explode_history(documents).select(columns))
 
 
+CLASHING = ["A/B", "A B", "A_B", "A_ B", "", "Unknown", None]
+
+
+def test_cities_whose_folders_clash_do_not_replace_each_other(spark, tmp_path):
+    """Space, slash and underscore look alike in a folder name, as do an empty and an unknown one."""
+    days = [(city, "X", "XX", float(i), 0.0, "2025-01-01", 1.0 + i, 0.0, 1.0, 0.0) for i, city in enumerate(CLASHING)]
+    daily = spark.createDataFrame(days, "city string, country string, country_code string, latitude double, longitude double, "
+                                        "date string, temp_max double, temp_min double, wind_max double, precipitation double")
+    found = records.record_documents(records.climate_records(daily.withColumn("date", F.col("date").cast("date"))))
+    path = str(tmp_path / "records")
+    sinks.write_records(found, path)
+    sinks.write_records(found.filter("city = 'A_B'"), path)
+    stored = spark.read.json(path)
+    assert sorted(str(row.city) for row in stored.collect()) == sorted(map(str, CLASHING))
+    # The same name elsewhere is another city; the city itself is replaced.
+    sinks.write_records(found.filter("city = 'A_B'").withColumn("latitude", F.lit(50.0)), path)
+    sinks.write_records(found.filter("city = 'A_B'").withColumn("records", F.col("records").withField("hottest_day.temperature", F.lit(99.0))), path)
+    rows = spark.read.json(path).filter("city = 'A_B'").select("latitude", "records.hottest_day.temperature")
+    assert bag(rows) == [(2.0, 99.0), (50.0, 3.0)]
+
+
+def test_clashing_history_documents(spark, tmp_path):
+    path = str(tmp_path / "history")
+    texts = [json.dumps(_document(city) | {"n": 1}) for city in CLASHING if city is not None]
+    (tmp_path / "in").mkdir()
+    for i, text in enumerate(texts):
+        (tmp_path / "in" / str(i)).mkdir()
+        (tmp_path / "in" / str(i) / "weather_history_raw.json").write_text(text)
+    documents, _ = sources.read_history(spark, str(tmp_path / "in"))
+    sinks.write_history(documents, path)
+    sinks.write_history(documents.filter("geocode_info.city = 'A_B'"), path)
+    stored, bad = sources.read_history(spark, path)
+    assert sorted(row.geocode_info.city for row in stored.collect()) == sorted(city for city in CLASHING if city is not None)
+    assert bad.count() == 0
+    # Two documents of one city in one write: the one downloaded last stays.
+    older = documents.filter("geocode_info.city = 'A B'").withColumn("downloaded_at", F.lit("2020")).withColumn(
+        "historical_data", F.col("historical_data").withField("latitude", F.lit(7.0)))
+    newer = older.withColumn("downloaded_at", F.lit("2021")).withColumn("historical_data", F.col("historical_data").withField("latitude", F.lit(8.0)))
+    sinks.write_history(newer.unionByName(older), path)
+    again, _ = sources.read_history(spark, path)
+    assert [row.historical_data.latitude for row in again.filter("geocode_info.city = 'A B'").collect()] == [8.0]
+
+
 def test_record_store(spark, tmp_path):
     path = str(tmp_path / "records")
     documents = records.record_documents(records.climate_records(adapters.daily(spark, SF_DIR)))
@@ -157,13 +200,18 @@ def test_alert_lines_that_are_none(spark, tmp_path):
 
 
 def test_both_history_layouts(spark, tmp_path):
+    """One scan reads downloads and stored documents; files of others are neither read nor reported."""
     place = {"city": "Lyon", "country": "France", "country_code": "FR"}
     document = {"geocode_info": place, "historical_data": {"latitude": 1.0, "daily": {"time": ["2025-01-01"]}}}
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "weather_history_raw.json").write_text(json.dumps(document, indent=1))
     good, _ = sources.read_history(spark, str(tmp_path))
     sinks.write_history(good.withColumn("geocode_info", good.geocode_info.withField("city", F.lit("Nice"))), str(tmp_path / "store"))
-    (tmp_path / "store" / "part-broken.json").write_text("{oops\n")
-    documents, bad = sources.read_all_history(spark, str(tmp_path))
+    broken = tmp_path / "store" / "country_path=France" / "city_path=Metz" / "place=0123456789abcdef"
+    broken.mkdir(parents=True)
+    (broken / "part-broken.json").write_text("{oops\n")
+    (tmp_path / "raw" / "part-00000.csv").write_text("a,b\n")
+    documents, bad = sources.read_history(spark, str(tmp_path))
     assert sorted(row.geocode_info.city for row in documents.collect()) == ["Lyon", "Nice"]
-    assert [row.text for row in bad.collect()] == ["{oops"]
+    assert [row.text for row in bad.collect()] == ["{oops\n"]
+    assert plan_text(documents).count("FileScan") == 1

@@ -9,21 +9,30 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from weatherlake import constants
 from weatherlake.functions.codec import accepted, decode_with_rejects, rejected
-from weatherlake.operators import records, reports, windows
+from weatherlake.functions.counting import Count
+from weatherlake.operators import alerts, geo, records, reports, windows
 from weatherlake.schemas import (
-    ENRICHED_READING, FLAT_READING, FLAT_TRANSFORMED, READING, TRANSFORMED, TRANSFORMED_GEO,
+    CANDIDATE, ENRICHED_READING, FLAT_READING, FLAT_TRANSFORMED, READING, TRANSFORMED, TRANSFORMED_GEO,
 )
 from weatherlake.session import build_session, checkpoint_root
 from weatherlake.sinks import files, topics
-from weatherlake.sources.files import read_alerts, read_all_history, unreadable_alerts
+from weatherlake.sources.files import (
+    has_history, history_files, read_alerts, read_json, skipped_history, stream_history, unreadable_alerts,
+    usable_history,
+)
+from weatherlake.sources.labels import single_label
+from weatherlake.sources.offsets import OffsetRecord, observe_offsets
 from weatherlake.sources.topics import batch_topic, stream_topic, topic_tail
 from weatherlake.streaming import jobs
-from weatherlake.streaming.metrics import TotalsListener, observe_alert_stream
+from weatherlake.streaming.batches import (
+    Sink, Totals, batch_label, every, json_sink, message_counters, split_writer, text_sink,
+)
+from weatherlake.streaming.metrics import TotalsListener, observe_sent
 
 
 def _messages(spark: SparkSession, args) -> DataFrame:
@@ -32,32 +41,40 @@ def _messages(spark: SparkSession, args) -> DataFrame:
     return spark.readStream.text(args.input)
 
 
-def _send(df: DataFrame, args, output_mode: str = "append") -> DataStreamWriter:
+def _update_writer(df: DataFrame, args, output_mode: str) -> DataStreamWriter:
+    """Writer of a stream of windows as messages."""
     messages = jobs.messages_of(df)
     if args.servers:
         return topics.topic_writer(messages, args.servers, args.output, output_mode)
     if output_mode == "append":
         return messages.writeStream.format("text").option("path", args.output)
     # Files cannot take back a window they already hold, so each batch adds its changes.
-    return jobs.shared_writer(
-        messages, lambda batch: batch.write.mode("append").text(args.output), output_mode=output_mode
+    sink = text_sink(args.output)
+    return messages.writeStream.outputMode(output_mode).foreachBatch(
+        lambda batch, batch_id: sink(batch, batch_label(batch.sparkSession, batch_id))
     )
 
 
+def _message_sink(args) -> Sink:
+    """Messages to the topic or to a folder with one part per batch."""
+    if args.servers:
+        return lambda messages, _label: topics.write_topic(messages, args.servers, args.output)
+    return text_sink(args.output)
+
+
 def _rejects(spark: SparkSession, args) -> str:
     return args.rejects or f"{checkpoint_root(spark).rstrip('/')}/rejected/{args.job}"
 
 
-def _run(spark: SparkSession, args, writer: DataStreamWriter, raw: DataFrame | None = None, schema=None) -> None:
-    """Run a job and, beside it, the query that keeps the messages it cannot decode; print the counters."""
-    totals = TotalsListener()
-    spark.streams.addListener(totals)
+def _run(spark: SparkSession, args, *writers: tuple[str, DataStreamWriter], totals: Totals | None = None) -> None:
+    """Run a job's queries, by default one, and print the counters."""
+    listener = TotalsListener(totals)
+    spark.streams.addListener(listener)
     try:
-        queries = [jobs.start(spark, writer, args.job, args.checkpoint, available_now=args.available_now)]
-        if schema is not None:
-            letters = jobs.dead_letter_writer(raw, schema, _rejects(spark, args))
-            beside = args.checkpoint and f"{args.checkpoint}-rejected"
-            queries.append(jobs.start(spark, letters, f"{args.job}-rejected", beside, available_now=args.available_now))
+        queries = [
+            jobs.start(spark, writer, args.job + name, args.checkpoint and args.checkpoint + name, available_now=args.available_now)
+            for name, writer in writers
+        ]
         if args.available_now:
             for query in queries:
                 query.awaitTermination()
@@ -65,9 +82,16 @@ def _run(spark: SparkSession, args, writer: DataStreamWriter, raw: DataFrame | N
             jobs.run_until_stopped(spark, *queries)
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
-        spark.streams.removeListener(totals)
-    for name, counts in sorted(totals.totals.items()):
-        print(f"{name}: " + ", ".join(f"{n} {kind}" for kind, n in counts.items()))
+        spark.streams.removeListener(listener)
+    for line in listener.counters.lines():
+        print(line)
+
+
+def _split(spark: SparkSession, args, schema, transform, sink: Sink, encode: bool = False) -> None:
+    """Run a job whose one query writes its output and its dead letters."""
+    totals = Totals()
+    letters = text_sink(_rejects(spark, args))
+    _run(spark, args, ("", split_writer(_messages(spark, args), schema, transform, sink, letters, totals, encode)), totals=totals)
 
 
 def _print_all(table: DataFrame) -> None:
@@ -78,77 +102,124 @@ def _print_all(table: DataFrame) -> None:
 
 
 def classify(spark: SparkSession, args) -> None:
-    raw = _messages(spark, args)
     if args.shape == "flat":
-        _run(spark, args, _send(jobs.flat_classified_stream(raw), args), raw, FLAT_READING)
-    else:
-        schema = ENRICHED_READING if args.carry_geo else READING
-        _run(spark, args, _send(jobs.classified_stream(raw, args.carry_geo), args), raw, schema)
+        return _split(spark, args, FLAT_READING, jobs.classified_flat, _message_sink(args), encode=True)
+    schema = ENRICHED_READING if args.carry_geo else READING
+    _split(spark, args, schema, lambda df: alerts.classify_readings(df, args.carry_geo), _message_sink(args), encode=True)
 
 
 def transform(spark: SparkSession, args) -> None:
-    raw = _messages(spark, args)
-    _run(spark, args, _send(jobs.flat_transformed_stream(raw), args), raw, FLAT_READING)
+    _split(spark, args, FLAT_READING, alerts.transform_flat, _message_sink(args), encode=True)
 
 
 def aggregate(spark: SparkSession, args) -> None:
     if not (args.watermark or args.unbounded):
         raise SystemExit("give --watermark, or --unbounded to keep the state of every window for ever")
+    if args.closed and not args.watermark:
+        raise SystemExit("--closed needs --watermark: without one no window ever closes")
     raw = _messages(spark, args)
-    aggregates = jobs.aggregates_stream(raw, args.window, args.slide, args.watermark)
-    _run(spark, args, _send(aggregates, args, "update"), raw, TRANSFORMED)
+    aggregates = jobs.aggregates_stream(raw, args.window, args.slide, args.watermark, panes=args.closed)
+    letters = jobs.dead_letter_writer(raw, TRANSFORMED, _rejects(spark, args))
+    writer = _update_writer(aggregates, args, "append" if args.closed else "update")
+    _run(spark, args, ("", writer), ("-rejected", letters))
 
 
 def tumbling(spark: SparkSession, args) -> None:
-    raw = batch_topic(spark, args.servers, args.input) if args.servers else spark.read.text(args.input)
+    """With ``--resume`` only messages that came after the last run are read, and each run adds its windows."""
+    record = OffsetRecord(spark, args.resume) if args.resume else None
+    ends = Observation()
+    if not args.servers:
+        raw = spark.read.text(args.input)
+    elif record:
+        raw = batch_topic(spark, args.servers, args.input, record.starting(args.input, args.partitions))
+        raw = observe_offsets(raw, ends, args.partitions)
+    else:
+        raw = batch_topic(spark, args.servers, args.input)
     decoded = decode_with_rejects(raw, FLAT_TRANSFORMED)
-    files.write_json(windows.tumbling_aggregates(accepted(decoded)), args.output, "overwrite")
-    letters = rejected(decoded)
-    letters.write.mode("overwrite").text(_rejects(spark, args))
-    print(f"messages: {letters.count()} rejected")
+    label = single_label("run", record.run if record else 0)
+    messages = Count(decoded, *message_counters())
+    json_sink(args.output)(windows.tumbling_aggregates(accepted(messages.rows)), label)
+    counts = messages.get()
+    if counts["rejected"]:
+        text_sink(_rejects(spark, args))(rejected(decoded), label)
+    if record and args.servers:
+        record.advance(args.input, ends.get)
+    print(f"messages: {counts['received']} received, {counts['rejected']} rejected")
 
 
 def store_alerts(spark: SparkSession, args) -> None:
     schema = TRANSFORMED_GEO if args.carry_geo else TRANSFORMED
-    raw = _messages(spark, args)
-    classified = observe_alert_stream(jobs.decoded_stream(raw, schema))
-    _run(spark, args, files.alert_store_writer(classified, args.output), raw, schema)
+    sink = files.alert_store_sink(args.output)
+    if args.merge_every:
+        sink = files.merging_sink(sink, args.output, args.merge_every)
+    _split(spark, args, schema, lambda df: df, sink)
 
 
 def high_wind(spark: SparkSession, args) -> None:
-    raw = _messages(spark, args)
-    _run(spark, args, jobs.high_wind_writer(jobs.decoded_stream(raw, FLAT_TRANSFORMED), args.output), raw, FLAT_TRANSFORMED)
+    _split(spark, args, FLAT_TRANSFORMED, alerts.high_wind_rows, json_sink(args.output))
+
+
+def enrich(spark: SparkSession, args) -> None:
+    """Readings that name a place, to messages with the place; ``--places`` is read anew for every batch."""
+    totals, rejects = Totals(), _rejects(spark, args)
+
+    def places() -> DataFrame:
+        return geo.resolve_cities(read_json(spark, args.places, CANDIDATE))
+
+    writer = jobs.enriching_writer(
+        _messages(spark, args), places, _message_sink(args), text_sink(rejects), json_sink(f"{rejects}-unresolved"), totals
+    )
+    _run(spark, args, ("", writer), totals=totals)
+
+
+def history(spark: SparkSession, args) -> None:
+    """New history documents to the store of documents and, as messages, to the topic or folder."""
+    totals = Totals()
+    send = _message_sink(args)
+
+    def messages(documents: DataFrame, label: str) -> None:
+        send(topics.keyed_messages(geo.stamped_history_messages(documents)), label)
+
+    sinks = [messages]
+    if args.store:
+        sinks.append(lambda documents, _label: files.write_history(documents, args.store))
+    writer = jobs.history_writer(stream_history(spark, args.input), every(*sinks), text_sink(_rejects(spark, args)), totals)
+    _run(spark, args, ("", writer), totals=totals)
 
 
 def climate_records(spark: SparkSession, args) -> None:
-    documents, unreadable = read_all_history(spark, args.input)
+    documents = history_files(spark, args.input)
+    read = Count(documents, F.count("*").alias("files"), F.count_if(~has_history()).alias("skipped"))
     # One row per city, and two outputs.
-    found = records.climate_records(records.explode_history(documents)).persist()
+    found = records.climate_records(records.explode_history(usable_history(read.rows))).persist()
     try:
-        skipped = 0
-        for row in unreadable.select("file").toLocalIterator():
-            skipped += 1
-            print(f"skipped: {row.file}")
-        if found.isEmpty():
+        written = Count(records.record_documents(found), F.count("*").alias("cities"))
+        files.write_records(written.rows, args.output)
+        cities, skipped = written.get()["cities"], read.get()["skipped"]
+        if skipped:  # the files are named by another scan only where there are any
+            for row in skipped_history(documents).select("file").toLocalIterator():
+                print(f"skipped: {row.file}")
+        if not cities:
             raise SystemExit(f"no usable history below {args.input} ({skipped} skipped)")
-        files.write_records(records.record_documents(found), args.output)
-        print(f"records: {found.count()} cities, {skipped} skipped")
+        print(f"records: {cities} cities, {skipped} skipped")
         if args.servers:
-            topics.write_topic(topics.keyed_messages(records.record_messages(found)), args.servers, args.topic)
+            sent = Observation()
+            topics.write_topic(observe_sent(topics.keyed_messages(records.record_messages(found)), sent), args.servers, args.topic)
+            print(f"messages: {sent.get['sent']} sent")
     finally:
         found.unpersist()
 
 
 def report(spark: SparkSession, args) -> None:
-    alerts = read_alerts(spark, args.input, args.country, args.city)
+    stored = read_alerts(spark, args.input, args.country, args.city)
     for title, table in (
-        ("records per country", reports.records_per_country(alerts)),
-        ("top cities", reports.top_cities(alerts)),
-        ("countries and cities", reports.place_totals(alerts)),
-        ("temperature and wind", reports.reading_stats(alerts)),
-        ("alerts per level", reports.alert_level_counts(alerts)),
-        ("most frequent weather code", reports.top_weathercode_by_country(alerts)),
-        ("alerts per city", reports.alerts_per_city(alerts)),
+        ("records per country", reports.records_per_country(stored)),
+        ("top cities", reports.top_cities(stored)),
+        ("countries and cities", reports.place_totals(stored)),
+        ("temperature and wind", reports.reading_stats(stored)),
+        ("alerts per level", reports.alert_level_counts(stored)),
+        ("most frequent weather code", reports.top_weathercode_by_country(stored)),
+        ("alerts per city", reports.alerts_per_city(stored)),
     ):
         print(title)
         _print_all(table)
@@ -157,7 +228,7 @@ def report(spark: SparkSession, args) -> None:
 
 def tail(spark: SparkSession, args) -> None:
     rows = topic_tail(stream_topic(spark, args.servers, args.input, "earliest"))
-    _run(spark, args, jobs.shared_writer(rows, jobs.print_batch))
+    _run(spark, args, ("", jobs.shared_writer(rows, jobs.print_batch)))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -188,8 +259,17 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--slide", default=constants.SLIDING_STEP)
     command.add_argument("--watermark")
     command.add_argument("--unbounded", action="store_true")
-    add("tumbling", tumbling, constants.TOPIC_TRANSFORMED, stream=False)
-    add("store-alerts", store_alerts, constants.TOPIC_TRANSFORMED).add_argument("--carry-geo", action="store_true")
+    command.add_argument("--closed", action="store_true", help="send each window once, when the watermark has closed it")
+    command = add("tumbling", tumbling, constants.TOPIC_TRANSFORMED, stream=False)
+    command.add_argument("--resume", help="folder that keeps the topic offsets up to which earlier runs have read")
+    command.add_argument("--partitions", type=int, default=1, help="partitions of the topic, for --resume")
+    command = add("store-alerts", store_alerts, constants.TOPIC_TRANSFORMED)
+    command.add_argument("--carry-geo", action="store_true")
+    command.add_argument("--merge-every", type=int, help="merge the files of each place every so many batches")
+    command = add("enrich", enrich, constants.TOPIC_REQUESTED, constants.TOPIC_READINGS)
+    command.add_argument("--places", required=True, help="folder of place candidates, one JSON object per line")
+    command = add("history", history, topic_out=constants.TOPIC_HISTORY)
+    command.add_argument("--store", help="folder of the raw history documents by place")
     add("high-wind", high_wind, constants.TOPIC_TRANSFORMED)
     add("records", climate_records, stream=False).add_argument("--topic", default=constants.TOPIC_RECORDS)
     command = add("report", report, stream=False, writes=False)

@@ -28,6 +28,7 @@ DAYS_PER_YEAR = 365
 HISTORY_FILE = "weather_history_raw.json"
 
 # --- fixed values: topics -------------------------------------------------------------
+TOPIC_REQUESTED = "weather_requested"
 TOPIC_READINGS = "weather_stream"
 TOPIC_CURRENT = "weather_current"
 TOPIC_TRANSFORMED = "weather_transformed"

@@ -14,6 +14,12 @@ def path_safe(name: str | Column) -> Column:
     return F.translate(F.when(name == "", F.lit(UNKNOWN_PLACE)).otherwise(name), " /", "__")
 
 
+def place_digest(*keys: str) -> Column:
+    """Folder name that differs wherever the raw keys differ; NULL and empty text are different keys."""
+    named = F.struct(*[F.col(key).cast("string").alias(f"k{i}") for i, key in enumerate(keys)])
+    return F.substring(F.sha2(F.to_json(named).cast("binary"), 256), 1, 16)
+
+
 def contains_ignoring_case(text: str | Column, part: str | Column) -> Column:
     return F.contains(F.lower(text), F.lower(part))
 

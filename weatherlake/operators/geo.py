@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from weatherlake.functions.joins import lookup_join
+from weatherlake.functions.joins import join_null_safe, lookup_join
 from weatherlake.functions.levels import or_default
 from weatherlake.functions.text import contains_ignoring_case
 from weatherlake.operators.alerts import required_fields_split
@@ -47,6 +47,10 @@ def resolve_requests(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     return lookup_join(requests, resolve_cities(candidates), REQUEST)
 
 
+def _now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def enrich_readings(readings: DataFrame, places: DataFrame, on: Sequence[str]) -> DataFrame:
     """Attach the resolved place to each reading and shape the enriched message.
 
@@ -65,10 +69,21 @@ def enrich_readings(readings: DataFrame, places: DataFrame, on: Sequence[str]) -
     )
 
 
+def enriched_split(readings: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Enriched, stamped messages of readings that name a place, and the readings that cannot be sent.
+
+    ``places`` has one resolved place per request (``resolve_cities``).  A reading cannot be sent if its place
+    is unknown or a field that every message needs is missing.
+    """
+    complete, incomplete = required_fields_split(readings, BASIC_REQUIRED)
+    messages = stamp_message(enrich_readings(complete, places, REQUEST)).drop(*REQUEST)
+    unknown = join_null_safe(complete, places.select(*REQUEST), REQUEST, "left_anti")
+    return messages, unknown.unionByName(incomplete)
+
+
 def stamp_message(df: DataFrame) -> DataFrame:
     """Clock columns of an outgoing message."""
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return df.withColumns({"timestamp": stamp, "fetched_at": F.col("current.time")})
+    return df.withColumns({"timestamp": _now(), "fetched_at": F.col("current.time")})
 
 
 def basic_messages(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,6 +93,11 @@ def basic_messages(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return fields, incomplete
 
 
+def stamped_history_messages(documents: DataFrame) -> DataFrame:
+    """History messages with the time at which they are sent."""
+    return history_messages(documents).withColumn("timestamp", _now())
+
+
 def history_messages(documents: DataFrame) -> DataFrame:
     """History documents in message form, one per city, without the clock column."""
     return documents.select(

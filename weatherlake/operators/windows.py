@@ -102,6 +102,23 @@ def _whole_slides(window: str, slide: str) -> bool:
     return _duration(window) % _duration(slide) == pd.Timedelta(0)
 
 
+def _pane_parts() -> list[Column]:
+    parts = [
+        part(measure).alias(f"{name}_{measure}")
+        for measure in AVERAGED
+        for name, part in (("sum", F.sum), ("n", F.count))
+    ]
+    return [*parts, *_bounds(), *_reading_counters()]
+
+
+def _merged_panes() -> list[Column]:
+    averages = [
+        F.try_divide(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}")).alias(f"avg_{measure}")
+        for measure in AVERAGED
+    ]
+    return [*averages, *_bounds(of_panes=True), *[F.sum(name).alias(name) for name in COUNTERS]]
+
+
 def sliding_aggregates(
     readings: DataFrame,
     window: str = SLIDING_WINDOW,
@@ -117,25 +134,33 @@ def sliding_aggregates(
     if not _whole_slides(window, slide):
         return sliding_aggregates_stream(readings, window, slide, time)
     timed = with_event_timestamp(readings, time)
-    parts = [
-        part(measure).alias(f"{name}_{measure}")
-        for measure in AVERAGED
-        for name, part in (("sum", F.sum), ("n", F.count))
-    ]
-    panes = (
-        timed.groupBy(F.window("event_timestamp", slide).alias("pane"), *PLACE)
-        .agg(*parts, *_bounds(), *_reading_counters())
-        .withColumn("pane_start", F.col("pane.start"))
-    )
-    averages = [
-        F.try_divide(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}")).alias(f"avg_{measure}")
-        for measure in AVERAGED
-    ]
-    counters = [F.sum(name).alias(name) for name in COUNTERS]
-    windowed = panes.groupBy(F.window("pane_start", window, slide), *PLACE).agg(
-        *averages, *_bounds(of_panes=True), *counters
-    )
-    return _finish(windowed)
+    panes = timed.groupBy(F.window("event_timestamp", slide).alias("pane"), *PLACE).agg(*_pane_parts())
+    panes = panes.withColumn("pane_start", F.col("pane.start"))
+    return _finish(panes.groupBy(F.window("pane_start", window, slide), *PLACE).agg(*_merged_panes()))
+
+
+def closed_sliding_aggregates(
+    readings: DataFrame,
+    watermark: str,
+    window: str = SLIDING_WINDOW,
+    slide: str = SLIDING_STEP,
+    time: str = "event_time",
+) -> DataFrame:
+    """Sliding aggregates of a stream through panes: each window once, when the watermark has closed it.
+
+    Two stateful steps in append mode.  The first folds readings into panes of one slide; a closed pane goes once to
+    each window that holds it.  State and shuffle thus hold one row per place and pane where the single
+    step has one per place and window and copies every reading into all its windows.
+    """
+    if not _whole_slides(window, slide):
+        return sliding_aggregates_stream(readings, window, slide, time, watermark)
+    timed = with_event_timestamp(readings, time)
+    timed = timed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    timed = timed.withWatermark("event_timestamp", watermark)
+    panes = timed.groupBy(F.window("event_timestamp", slide).alias("pane"), *PLACE).agg(*_pane_parts())
+    at = F.window_time("pane").alias("pane_time")
+    panes = panes.select(at, *PLACE, *[c for c in panes.columns if c not in ("pane", *PLACE)])
+    return _finish(panes.groupBy(F.window("pane_time", window, slide), *PLACE).agg(*_merged_panes()))
 
 
 def tumbling_aggregates(

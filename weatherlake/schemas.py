@@ -58,6 +58,9 @@ FLAT_TRANSFORMED = struct(
     "temperature double, windspeed double, temp_f double, high_wind_alert boolean, time string"
 )
 
+# Reading that still names the place asked for.
+REQUESTED_READING = joined(struct("requested_city string, requested_country string"), READING)
+
 # Classified reading, 15 columns.
 TRANSFORMED = struct(
     "latitude double, longitude double, timezone string, elevation double, event_time string, "
@@ -94,13 +97,13 @@ DAILY = struct(
     "date date, temp_max double, temp_min double, wind_max double, precipitation double"
 )
 
-# Stored alert line; the last two columns are the partition folders.
+# Stored alert line; the last columns are the partition folders: place, and the batch that wrote it.
 ALERT = struct(
     "country string, city string, latitude double, longitude double, event_time string, "
     "temperature double, windspeed double, wind_alert_level string, heat_alert_level string, "
     "weathercode integer, humidity double, saved_at string"
 )
-STORED_ALERT = joined(ALERT, struct("country_path string, city_path string"))
+STORED_ALERT = joined(ALERT, struct("country_path string, city_path string, batch string"))
 
 # Geocoder answers: one row per requested place and candidate, in answer order.
 CANDIDATE = struct(

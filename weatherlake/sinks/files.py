@@ -7,14 +7,21 @@ than the rest over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+import uuid
+from collections.abc import Sequence
 
-from weatherlake.functions.text import path_safe
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from weatherlake.functions.text import path_safe, place_digest
 from weatherlake.operators.alerts import alerts_to_store, stamp_saved
-from weatherlake.operators.records import stamp_computed
+from weatherlake.operators.records import CITY_KEYS, stamp_computed
+from weatherlake.sources.labels import DIGITS, MARKS, file_system, merged_label, merged_upto, single_label, singles
+from weatherlake.streaming.batches import BATCH_FOLDER, Sink, place_sink
 
 PLACE_FOLDERS = ("country_path", "city_path")
+PLACE_FOLDER = "place"
+# What makes a city of the history store one city.
+HISTORY_KEYS = ("geocode_info.country", "geocode_info.city", "geocode_info.country_code", "geocode_info.admin1")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
@@ -32,47 +39,93 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.json(path, mode=mode)
 
 
-def _write_by_place(df: DataFrame, path: str, mode: str) -> None:
-    writer = df.hint("rebalance", *PLACE_FOLDERS).write.mode(mode).partitionBy(*PLACE_FOLDERS)
-    if mode == "overwrite":
-        # Replace only the places present in this run.
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.json(path)
-
-
 def append_alerts(classified: DataFrame, path: str) -> None:
     """Append the alerts of a bounded table to the alert store."""
-    _write_by_place(stamp_saved(alerts_to_store(classified)), path, "append")
+    placed = stamp_saved(alerts_to_store(classified)).hint("rebalance", *PLACE_FOLDERS)
+    label = f"append-{uuid.uuid4().hex}"
+    placed.withColumn(BATCH_FOLDER, F.lit(label)).write.mode("append").partitionBy(*PLACE_FOLDERS, BATCH_FOLDER).json(path)
+
 
+def alert_store_sink(path: str) -> Sink:
+    """Files the alerts among classified rows by place; a batch that comes again replaces its own files only."""
+    write = place_sink(path, PLACE_FOLDERS)
+    return lambda classified, label: write(stamp_saved(alerts_to_store(classified)), label)
 
-def alert_store_writer(classified: DataFrame, path: str) -> DataStreamWriter:
-    """Writer that appends the alerts of a stream to the alert store, exactly once.
 
-    Each batch is gathered by place first, so it adds one file per place; bound the rows of a
-    batch with the source's rate limit.
+def merge_batches(spark: SparkSession, path: str, query: str, last: int) -> int:
+    """File the rows of a query's batches up to ``last`` once per place instead of once per place and batch.
+
+    Lines are copied as they are.  Readers change over when the mark is set; the
+    folders that the mark before this one had replaced are deleted now, so a reader that began
+    earlier still finds its files.  Returns the first batch merged, or -1 if there was nothing to do.
+    """
+    before = merged_upto(spark, path).get(query, -1)
+    if last <= before:
+        return -1
+    schema = f"value STRING, {', '.join(f'{name} STRING' for name in (*PLACE_FOLDERS, BATCH_FOLDER))}"
+    lines = spark.read.schema(schema).text(path).filter(singles(query, before + 1, last)).drop(BATCH_FOLDER)
+    labelled = lines.hint("rebalance", *PLACE_FOLDERS).withColumn(BATCH_FOLDER, F.lit(merged_label(query, before + 1, last)))
+    writer = labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PLACE_FOLDERS, BATCH_FOLDER).text(path)
+    mark, system = file_system(spark, f"{path.rstrip('/')}/{MARKS}/{single_label(query, last)}")
+    system.create(mark, True).close()
+    if before >= 0:
+        _delete_replaced(spark, path, query, before)
+    return before + 1
+
+
+def _delete_replaced(spark: SparkSession, path: str, query: str, upto: int) -> None:
+    """Delete the folders of single batches up to ``upto`` and the mark that replaced them."""
+    folders = "/".join(f"{name}=*" for name in PLACE_FOLDERS)
+    digits = "[0-9]" * DIGITS
+    pattern, system = file_system(spark, f"{path.rstrip('/')}/{folders}/{BATCH_FOLDER}={query}-{digits}")
+    for status in system.globStatus(pattern):
+        if int(status.getPath().getName().rsplit("-", 1)[1]) <= upto:
+            system.delete(status.getPath(), True)
+    system.delete(file_system(spark, f"{path.rstrip('/')}/{MARKS}/{single_label(query, upto)}")[0], False)
+
+
+def merging_sink(sink: Sink, path: str, every: int) -> Sink:
+    """``sink``, and after each ``every`` batches a merge of what they wrote; no other query may write under the same id."""
+
+    def write(df: DataFrame, label: str) -> None:
+        sink(df, label)
+        query, number = label.rsplit("-", 1)
+        if (int(number) + 1) % every == 0:
+            merge_batches(df.sparkSession, path, query, int(number))
+
+    return write
+
+
+def _replace_places(documents: DataFrame, country: str, city: str, keys: Sequence[str], path: str) -> None:
+    """Write one folder per place, replacing those of the places in this run and no others.
+
+    Different names may give the same two folder names (``A/B``, ``A B`` and ``A_B`` do), so a third folder
+    below them is named by a digest of the raw key: no place can remove another's document.
     """
-    alerts = stamp_saved(alerts_to_store(classified)).repartition(*PLACE_FOLDERS)
-    return alerts.writeStream.format("json").option("path", path).partitionBy(*PLACE_FOLDERS).outputMode("append")
+    placed = documents.withColumns(
+        {"country_path": path_safe(country), "city_path": path_safe(city), PLACE_FOLDER: place_digest(*keys)}
+    )
+    folders = (*PLACE_FOLDERS, PLACE_FOLDER)
+    writer = placed.hint("rebalance", *folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).json(path)
 
 
 def write_records(documents: DataFrame, path: str) -> None:
-    """One record document per city, replacing that city's previous one."""
-    placed = stamp_computed(documents).withColumns(
-        {"country_path": path_safe("country"), "city_path": path_safe("city")}
-    )
-    _write_by_place(placed, path, "overwrite")
+    """One record document per city (all of ``CITY_KEYS``), replacing that city's previous one."""
+    _replace_places(stamp_computed(documents), "country", "city", CITY_KEYS, path)
 
 
 def write_history(documents: DataFrame, path: str) -> None:
-    """One raw history document per city, replacing that city's previous one."""
-    placed = documents.withColumns(
-        {
-            "downloaded_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-            "country_path": path_safe("geocode_info.country"),
-            "city_path": path_safe("geocode_info.city"),
-        }
-    )
-    _write_by_place(placed, path, "overwrite")
+    """One raw history document per city (``HISTORY_KEYS``), replacing that city's previous one.
+
+    Of several documents of a city the one downloaded last stays.  A file holds one document.
+    """
+    age = [F.col("downloaded_at")] if "downloaded_at" in documents.columns else []
+    newest = F.max_by(F.struct(*documents.columns), F.struct(*age, F.to_json("historical_data"))).alias("document")
+    one = documents.groupBy(place_digest(*HISTORY_KEYS).alias(PLACE_FOLDER)).agg(newest).select("document.*")
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    _replace_places(one.withColumn("downloaded_at", stamp), "geocode_info.country", "geocode_info.city", HISTORY_KEYS, path)
 
 
 def to_small_pandas(df: DataFrame, limit: int):

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from weatherlake.constants import HISTORY_FILE
 from weatherlake.functions.text import path_safe
 from weatherlake.functions.times import parse_time
+from weatherlake.sources.labels import live, merged_upto
 from weatherlake.schemas import CORRUPT_COLUMN, HISTORY_DOCUMENT, STORED_ALERT, with_corrupt_column
 
+# Raw downloads by their name, stored documents by the folder of their place.
+HISTORY_PATHS = f"/{re.escape(HISTORY_FILE)}$|/place=[0-9a-f]{{16}}/part-[^/]*$"
+
 
 def read_csv(
     spark: SparkSession,
@@ -41,55 +47,63 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_history(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """Raw history documents below ``root`` and the files that hold none.
+def history_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per history file below ``root``: the document, its file and, where it is broken, its text.
 
-    The first table has the usable documents.  The second has ``file`` and ``text`` of each
-    file that is not JSON or lacks one of its two parts; its count is the skip report.
-    Files are parsed by the tasks that read them; an empty folder gives empty tables.
+    A file is either a raw download or one written by ``sinks.files.write_history``; both hold one
+    document, so one listing and one scan read both layouts.  Other files are none of ours.
     """
-    documents = (
+    files = (
         spark.read.schema(with_corrupt_column(HISTORY_DOCUMENT))
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", HISTORY_FILE)
+        .option("pathGlobFilter", f"{{{HISTORY_FILE},part-*}}")
         .json(root)
         .withColumn("file", F.input_file_name())
     )
-    usable = (
-        F.col(CORRUPT_COLUMN).isNull()
-        & F.col("geocode_info").isNotNull()
-        & F.col("historical_data").isNotNull()
-    )
-    good = documents.filter(usable).drop(CORRUPT_COLUMN, "file")
-    bad = documents.filter(~usable).select("file", F.col(CORRUPT_COLUMN).alias("text"))
-    return good, bad
+    return files.filter(F.col("file").rlike(HISTORY_PATHS))
 
 
-def read_history_store(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """History documents written by ``sinks.files.write_history`` (one per line), and the lines that are none."""
-    lines = (
-        spark.read.schema(with_corrupt_column(HISTORY_DOCUMENT))
+def stream_history(spark: SparkSession, root: str) -> DataFrame:
+    """``history_files`` as a stream: every file once, as it appears."""
+    files = (
+        spark.readStream.schema(with_corrupt_column(HISTORY_DOCUMENT))
+        .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "part-*")
+        .option("pathGlobFilter", HISTORY_FILE)
         .json(root)
-        .withColumn("file", F.input_file_name())
     )
-    usable = F.col(CORRUPT_COLUMN).isNull() & F.col("geocode_info").isNotNull() & F.col("historical_data").isNotNull()
-    bad = lines.filter(~usable).select("file", F.col(CORRUPT_COLUMN).alias("text"))
-    return lines.filter(usable).drop(CORRUPT_COLUMN, "file"), bad
+    return files.withColumn("file", F.input_file_name())
 
 
-def read_all_history(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """``read_history`` and ``read_history_store`` together: both layouts may lie below ``root``."""
-    raw, bad_files = read_history(spark, root)
-    stored, bad_lines = read_history_store(spark, root)
-    return raw.unionByName(stored), bad_files.unionByName(bad_lines)
+def has_history() -> Column:
+    """Whether a row of ``history_files`` is a usable document."""
+    return F.col(CORRUPT_COLUMN).isNull() & F.col("geocode_info").isNotNull() & F.col("historical_data").isNotNull()
+
+
+def usable_history(files: DataFrame) -> DataFrame:
+    return files.filter(has_history()).drop(CORRUPT_COLUMN, "file")
+
+
+def skipped_history(files: DataFrame) -> DataFrame:
+    """``file`` and ``text`` of what is not JSON or lacks one of its two parts: the skip report."""
+    return files.filter(~has_history()).select("file", F.col(CORRUPT_COLUMN).alias("text"))
+
+
+def read_history(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The usable history documents below ``root`` and the files that hold none.
+
+    Files are parsed by the tasks that read them; an empty folder gives empty tables.
+    """
+    files = history_files(spark, root)
+    return usable_history(files), skipped_history(files)
 
 
 def _alert_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of the store; an alert parses and has a place (the writer sees to that)."""
-    return spark.read.schema(with_corrupt_column(STORED_ALERT)).json(root)
+    """Lines of the store that count; an alert parses and has a place (the writer sees to that)."""
+    lines = spark.read.schema(with_corrupt_column(STORED_ALERT)).json(root)
+    upto = merged_upto(spark, root)
+    return lines.filter(live(upto)) if upto else lines
 
 
 def read_alerts(

@@ -9,34 +9,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from weatherlake.constants import LEVEL_2, SLIDING_STEP, SLIDING_WINDOW
 from weatherlake.functions.codec import accepted, decode_with_rejects, encode_json, rejected
+from weatherlake.functions.counting import Count
 from weatherlake.operators.alerts import (
     classify_flat_readings,
     classify_readings,
-    high_wind_rows,
     transform_flat,
 )
-from weatherlake.operators.windows import sliding_aggregates_stream, with_computed_at, with_event_timestamp
-from weatherlake.schemas import ENRICHED_READING, FLAT_READING, READING, TRANSFORMED
+from weatherlake.operators.geo import enriched_split
+from weatherlake.operators.windows import (
+    closed_sliding_aggregates, sliding_aggregates_stream, with_computed_at, with_event_timestamp,
+)
+from weatherlake.schemas import ENRICHED_READING, FLAT_READING, READING, REQUESTED_READING, TRANSFORMED
+from weatherlake.sinks.topics import keyed_messages
+from weatherlake.sources.files import has_history, skipped_history, usable_history
+from weatherlake.streaming.batches import Sink, SplitBatch, Totals, batch_label
 from weatherlake.streaming.metrics import observe_alert_stream, observe_rejects, observe_untimed
 
 
 def decoded_stream(messages: DataFrame, schema: StructType) -> DataFrame:
     """Messages that are JSON objects, fields of the wrong type as NULL.
 
-    Every batch reports received and rejected messages under the observation ``messages``;
-    ``dead_letter_writer`` keeps the rejected ones.
+    Every batch reports received and rejected messages under the observation ``messages``.
     """
     return accepted(observe_rejects(decode_with_rejects(messages, schema)))
 
 
 def dead_letter_writer(messages: DataFrame, schema: StructType, path: str) -> DataStreamWriter:
-    """Append the text of every message that is no JSON object, exactly once."""
+    """Append the text of every message that is no JSON object, exactly once.
+
+    For a query with window state, whose one output are the windows; the other jobs
+    write their dead letters themselves (``batches.split_writer``).
+    """
     letters = rejected(decode_with_rejects(messages, schema))
     return letters.writeStream.format("text").option("path", path).outputMode("append")
 
@@ -47,16 +56,52 @@ def classified_stream(messages: DataFrame, carry_geo: bool = False) -> DataFrame
     return observe_alert_stream(classify_readings(decoded_stream(messages, schema), carry_geo))
 
 
-def flat_classified_stream(messages: DataFrame) -> DataFrame:
-    """Flat reading messages classified with half-open levels; missing measures are level 2."""
-    readings = decoded_stream(messages, FLAT_READING)
+def classified_flat(readings: DataFrame) -> DataFrame:
+    """Flat readings classified with half-open levels; missing measures are level 2."""
     return classify_flat_readings(readings, closed="left", null_level=LEVEL_2)
 
 
+def flat_classified_stream(messages: DataFrame) -> DataFrame:
+    return classified_flat(decoded_stream(messages, FLAT_READING))
+
+
 def flat_transformed_stream(messages: DataFrame) -> DataFrame:
     return transform_flat(decoded_stream(messages, FLAT_READING))
 
 
+def enriching_writer(
+    messages: DataFrame, places: Callable[[], DataFrame], sink: Sink, letters: Sink, unresolved: Sink,
+    totals: Totals | None = None,
+) -> DataStreamWriter:
+    """Readings with the place they name, stamped and keyed by place.
+
+    ``places`` is called for every batch, so a place that was added meanwhile counts from the next batch on.
+    Readings whose place is not known, or that lack a field, go to ``unresolved`` as JSON.
+    """
+
+    def split(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return enriched_split(readings, places())
+
+    batch = SplitBatch(split, sink, letters, unresolved, totals or Totals(), keyed_messages)
+    return decode_with_rejects(messages, REQUESTED_READING).writeStream.foreachBatch(batch)
+
+
+def history_writer(files: DataFrame, sink: Sink, letters: Sink, totals: Totals | None = None) -> DataStreamWriter:
+    """History documents to ``sink``, the names of broken files to ``letters``."""
+    counters = totals or Totals()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        label = batch_label(batch.sparkSession, batch_id)
+        received = Count(batch, F.count("*").alias("received"), F.count_if(~has_history()).alias("rejected"))
+        sink(usable_history(received.rows), label)
+        counts = received.get()
+        if counts["rejected"]:
+            letters(skipped_history(batch).select(F.col("file").alias("value")), label)
+        counters.add("documents", counts)
+
+    return files.writeStream.foreachBatch(write)
+
+
 def aggregates_stream(
     messages: DataFrame,
     window: str = SLIDING_WINDOW,
@@ -64,23 +109,24 @@ def aggregates_stream(
     watermark: str | None = None,
     schema: StructType = TRANSFORMED,
     zone: str | None = None,
+    panes: bool = False,
 ) -> DataFrame:
     """Classified reading messages to sliding aggregates stamped ``computed_at``.
 
     Readings without a usable event time fall into no window; every batch reports how many
-    under the observation ``untimed``.
+    under the observation ``untimed``.  With ``panes`` (append mode and a watermark) readings are
+    folded into panes first, and each window is sent once.
     """
     readings = decoded_stream(messages, schema)
     timed = observe_untimed(with_event_timestamp(readings, zone=zone))
+    if panes:
+        if not watermark:
+            raise ValueError("windows close only behind a watermark")
+        return with_computed_at(closed_sliding_aggregates(timed, watermark, window, slide, "event_timestamp"))
     aggregates = sliding_aggregates_stream(timed, window, slide, "event_timestamp", watermark)
     return with_computed_at(aggregates)
 
 
-def high_wind_writer(transformed: DataFrame, path: str) -> DataStreamWriter:
-    """Append high-wind readings as JSON lines; each is written once."""
-    return high_wind_rows(transformed).writeStream.format("json").option("path", path).outputMode("append")
-
-
 def messages_of(df: DataFrame) -> DataFrame:
     return encode_json(df)
 

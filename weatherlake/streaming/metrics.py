@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from weatherlake.functions.levels import is_alert
-from weatherlake.schemas import CORRUPT_COLUMN
+from weatherlake.streaming.batches import Totals, message_counters
 
 
 def _alert_counters():
@@ -31,10 +29,8 @@ def observe_untimed(readings: DataFrame, name: str = "untimed") -> DataFrame:
 
 
 def observe_rejects(decoded: DataFrame, name: str = "messages") -> DataFrame:
-    """Count decoded messages and the rejects among them, under ``name``."""
-    return decoded.observe(
-        name, F.count("*").alias("received"), F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("rejected")
-    )
+    """Count decoded messages and the rejects among them in every micro-batch, under ``name``."""
+    return decoded.observe(name, *message_counters())
 
 
 def observe_sent(messages: DataFrame, observation: Observation) -> DataFrame:
@@ -42,17 +38,28 @@ def observe_sent(messages: DataFrame, observation: Observation) -> DataFrame:
 
 
 class TotalsListener(StreamingQueryListener):
-    """Adds up observed counters over micro-batches, per observation name."""
+    """Adds up counters over micro-batches: what queries observe, and what the watermark drops.
+
+    Rows later than the watermark are counted behind partial aggregation, so several late
+    readings of one window and place in one task count once.
+    """
+
+    def __init__(self, counters: Totals | None = None) -> None:
+        self.counters = counters or Totals()
 
-    def __init__(self) -> None:
-        self.totals: dict[str, Counter] = {}
+    @property
+    def totals(self) -> dict:
+        return self.counters.totals
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         for name, row in event.progress.observedMetrics.items():
-            self.totals.setdefault(name, Counter()).update(row.asDict())
+            self.counters.add(name, row.asDict())
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        if late:
+            self.counters.add("late", {"dropped": late})
 
     def onQueryIdle(self, event) -> None:
         pass
