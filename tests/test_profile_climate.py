@@ -164,3 +164,64 @@ def test_one_year_filter_reaches_the_scan(spark):
     )
     plan = plan_text(climate.mean_temperature_of(table, 1999))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
+
+
+def test_exact_quantiles_order_one_range_only(spark, monkeypatch):
+    """All values are near the median here, so many ranges are cut and few values ordered."""
+    monkeypatch.setattr(profile, "SKETCH_ACCURACY", 4)
+    monkeypatch.setattr(profile, "NEAR_PARTS", 16)
+    rng = random.Random(5)
+    values = [rng.gauss(0, 1) for _ in range(3000)] + [0.5] * 700 + [float("inf"), float("-inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    probabilities = [0.0, 0.1, 0.5, 0.66, 0.7, 0.9, 1.0]
+    expected = {p: sorted(values)[max(1, math.ceil(p * len(values))) - 1] for p in probabilities}
+    assert dict(tuples(profile.exact_quantiles(rows, "v", probabilities))) == expected
+
+
+def test_merged_quantile_sketches(spark):
+    """Sketches of the days, merged for any set of days, agree with the rows of those days."""
+    rows = spark.range(30_000).select((F.col("id") % 3).alias("day"), (F.col("id") * 1.0).alias("v"))
+    rows = rows.union(spark.createDataFrame([(0, None), (0, float("nan"))], "day long, v double"))
+    sketches = profile.quantile_sketches(rows, "v", "day")
+    whole = dict(tuples(profile.merged_quantiles(sketches, [0.1, 0.5, 0.9])))
+    assert all(abs(q / 30_000 - p) < 0.01 for p, q in whole.items())
+    two = profile.merged_quantiles(sketches.filter("day < 2"), [0.5])
+    assert abs(two.first().quantile / 30_000 - 0.5) < 0.01
+    assert profile.merged_quantiles(sketches, [0.5], "day").count() == 3
+    nothing = spark.createDataFrame([], "day long, v double")
+    assert profile.merged_quantiles(profile.quantile_sketches(nothing, "v", "day"), [0.5]).collect() == []
+
+
+def test_merged_distinct_sketches_count_a_value_once(spark):
+    rows = spark.range(4000).select((F.col("id") % 4).alias("day"), (F.col("id") % 1000).alias("station"))
+    sketches = profile.distinct_sketches(rows.union(spark.createDataFrame([(9, None)], "day long, station long")), "station", "day")
+    assert abs(profile.merged_distinct(sketches).first().n_distinct - 1000) < 60
+    assert {r.n_distinct for r in profile.merged_distinct(sketches, "day").filter("day < 4").collect()} <= set(range(235, 266))
+    assert profile.merged_distinct(sketches, "day").filter("day = 9").first().n_distinct == 0
+
+
+def test_trend_is_the_least_squares_line(spark):
+    points = [(2000, 1.0, "a"), (2001, 3.0, "a"), (2002, 5.0, "a"), (2003, None, "a"), (2000, 4.0, "b")]
+    yearly = spark.createDataFrame(points, "year int, total double, country string")
+    found = {row.country: row for row in climate.trend(yearly, "total", "country").collect()}
+    assert (found["a"].slope, found["a"].r2, found["a"].n_years) == (2.0, 1.0, 3)
+    assert (found["b"].slope, found["b"].n_years) == (None, 1)
+
+
+def test_full_summary_has_every_column(spark):
+    rows = spark.createDataFrame([(1, "b", 2.0, True), (3, "7", None, False)], "n int, t string, d double, f boolean")
+    found = {row.summary: row for row in profile.full_summary(rows).collect()}
+    assert list(found["count"][1:]) == ["2", "2", "1", "2"]
+    assert (found["min"].t, found["max"].t, found["mean"].t, found["mean"].n) == ("7", "b", None, "2.0")
+    assert found["max"].f == "true" and set(found) == {"count", "mean", "stddev", "min", "25%", "50%", "75%", "max"}
+
+
+def test_series_arrays_hold_one_day_each(spark):
+    from weatherlake.operators import reports
+
+    rows = [("Paris", "France", t, v) for t, v in (("2025-01-01 10:00", 2.0), ("2025-01-01 09:00", 1.0), ("2025-01-02 00:00", 3.0), (None, 4.0), ("2025-01-02 01:00", None))]
+    table = spark.createDataFrame(rows, "city string, country string, event_time string, temperature double")
+    found = reports.series_arrays(table.withColumn("event_time", F.to_timestamp("event_time")), "temperature").orderBy("day").collect()
+    assert [(r.label, str(r.day), [t.hour for t in r.times], r["values"]) for r in found] == [
+        ("Paris, France", "2025-01-01", [9, 10], [1.0, 2.0]), ("Paris, France", "2025-01-02", [0], [3.0]),
+    ]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weatherlake.constants import HOT_DAY
+from weatherlake.operators.profile import distinct_sketches, merged_distinct
 
 VIEW = "climate"
 TREND_YEARS = 50
@@ -39,6 +40,17 @@ def years_and_stations(climate: DataFrame) -> DataFrame:
     )
 
 
+def station_sketches(climate: DataFrame) -> DataFrame:
+    """year, sketch: the stations of each year, small enough to store."""
+    return distinct_sketches(climate, "station", F.year("date").alias("year"))
+
+
+def stations_of_periods(sketches: DataFrame, years: int) -> DataFrame:
+    """first_year, n_stations: estimated stations of periods of so many years, from the sketches of the years alone."""
+    first = (F.floor(F.col("year") / years) * years).cast("int").alias("first_year")
+    return merged_distinct(sketches.filter("year IS NOT NULL"), first, name="n_stations")
+
+
 def hot_days(climate: DataFrame) -> DataFrame:
     return with_date_parts(climate).agg(F.count_if("is_hot").alias("hot_days"))
 
@@ -115,6 +127,31 @@ def precipitation_trend_world(climate: DataFrame, years: int = TREND_YEARS) -> D
     return _last_years(precipitation_series(climate), years)
 
 
+def trend(yearly: DataFrame, measure: str, *by: str) -> DataFrame:
+    """slope, r2, n_years: the least-squares line through the yearly values of a measure, per group.
+
+    ``yearly`` has one row per year and group.  Years without a value do not count; a single
+    year has no slope.
+    """
+    fitted = (
+        F.regr_slope(measure, "year").alias("slope"),
+        F.regr_r2(measure, "year").alias("r2"),
+        F.regr_count(measure, "year").alias("n_years"),
+    )
+    return yearly.groupBy(*by).agg(*fitted)
+
+
+def precipitation_slope_world(climate: DataFrame, years: int | None = None) -> DataFrame:
+    """Change of the yearly precipitation per year, over all or the last ``years`` years."""
+    yearly = precipitation_series(climate).filter("year IS NOT NULL")
+    return trend(_last_years(yearly, years) if years else yearly, "total_precipitation")
+
+
+def precipitation_slope_by_country(climate: DataFrame, stations: DataFrame) -> DataFrame:
+    yearly = precipitation_by_country_year(climate, stations).filter("_located AND year IS NOT NULL")
+    return trend(yearly, "total_precipitation", "country")
+
+
 def _station_years(climate: DataFrame, measure: str) -> DataFrame:
     return climate.groupBy("station", F.year("date").alias("year")).agg(
         F.sum(measure).alias("total"), F.count(measure).alias("n")

@@ -100,3 +100,15 @@ def measure_series(alerts: DataFrame, measure: str, time: str = "event_time") ->
     )
     present = series.filter(F.col("time").isNotNull() & F.col("value").isNotNull())
     return sorted_by(present, "label", "time", "value")
+
+
+def series_arrays(alerts: DataFrame, measure: str, time: str = "event_time") -> DataFrame:
+    """label, day, times, values: the series of each place as arrays, one row per day.
+
+    A day bounds the arrays by what one place reports in a day; a label's rows in day order are its whole series.
+    """
+    series = alerts.select(place_label().alias("label"), F.col(time).alias("time"), F.col(measure).alias("value"))
+    present = series.filter(F.col("time").isNotNull() & F.col("value").isNotNull())
+    points = F.array_sort(F.collect_list(F.struct("time", "value"))).alias("points")
+    daily = present.groupBy("label", F.to_date("time").alias("day")).agg(points)
+    return daily.select("label", "day", F.col("points.time").alias("times"), F.col("points.value").alias("values"))

@@ -109,8 +109,10 @@ def rides_of_first_rider(rides: DataFrame) -> DataFrame:
     return rides.join(first, "id", "left_semi")
 
 
-def distinct_ids(rides: DataFrame) -> DataFrame:
-    return rides.agg(F.count_distinct("id").alias("nb_ids_uniques"))
+def distinct_ids(rides: DataFrame, error: float = 0.0) -> DataFrame:
+    """Number of distinct ids; with an ``error`` (relative standard deviation) from a sketch, without a shuffle of the ids."""
+    counted = F.approx_count_distinct("id", error) if error else F.count_distinct("id")
+    return rides.agg(counted.alias("nb_ids_uniques"))
 
 
 def ordered_rides(rides: DataFrame, *tie: str) -> DataFrame:

@@ -225,10 +225,9 @@ def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The station table; it lacks some stations that have measurements."""
+    """The station table."""
     return (
         table(spark, sf_dir, "supplier")
-        .filter(F.col("s_suppkey") % 19 != 0)
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
         .select(F.col("s_suppkey").alias("station"), F.col("n_name").alias("country"))
     )

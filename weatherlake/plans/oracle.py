@@ -153,7 +153,6 @@ parts AS (
 stations AS (
   SELECT s.s_suppkey AS station, n.n_name AS country
   FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
-  WHERE s.s_suppkey % 19 <> 0
 )
 """
 
@@ -342,6 +341,13 @@ ORACLE: dict[str, str] = {
            FROM readings""",
     ),
     "temperature_series": _series("temperature"),
+    "temperature_arrays": _with(
+        _READINGS,
+        """SELECT COALESCE(city, 'Unknown') || ', ' || COALESCE(country, 'Unknown') AS label, CAST(event_time AS DATE) AS day,
+                  count(*) AS n, string_agg(strftime(event_time, '%H:%M:%S'), ' ' ORDER BY event_time, temperature) AS times,
+                  string_agg(CAST(CAST(round(temperature * 100) AS BIGINT) AS VARCHAR), ' ' ORDER BY event_time, temperature) AS "values"
+           FROM named WHERE event_time IS NOT NULL AND temperature IS NOT NULL GROUP BY 1, 2""",
+    ),
     "wind_series": _series("windspeed"),
     "resolve_city": _with(
         _PLACES,
@@ -444,6 +450,7 @@ ORACLE: dict[str, str] = {
         """SELECT * REPLACE (round(duree_trajet_minutes, 6) AS duree_trajet_minutes)
            FROM trips WHERE id = (SELECT min(id) FROM trips)""",
     ),
+    "distinct_ids_approximate": "SELECT count(DISTINCT user_id) AS nb_ids_uniques, TRUE AS within_error FROM events",
     "distinct_ids": "SELECT count(DISTINCT user_id) AS nb_ids_uniques FROM events",
     "ordered_rides": _with(_RIDES, "SELECT * FROM rides"),
     "first_rides": _with(_RIDES, "SELECT * FROM rides ORDER BY id, date, event_id LIMIT 10"),
@@ -478,11 +485,14 @@ ORACLE: dict[str, str] = {
     "summary_all": "UNION ALL".join(
         f"""
         SELECT '{name}' AS summary, round(CAST({form.format(c='c_custkey')} AS DOUBLE), 4) AS c_custkey,
-               round(CAST({form.format(c='c_acctbal')} AS DOUBLE), 4) AS c_acctbal FROM customer """
-        for name, form in (
-            ("count", "count({c})"), ("mean", "avg({c})"), ("stddev", "stddev_samp({c})"), ("min", "min({c})"),
-            ("25%", "quantile_disc({c}, 0.25)"), ("50%", "quantile_disc({c}, 0.5)"), ("75%", "quantile_disc({c}, 0.75)"),
-            ("max", "max({c})"),
+               {text.format(c='c_name')} AS c_name, round(CAST({form.format(c='c_nationkey')} AS DOUBLE), 4) AS c_nationkey,
+               round(CAST({form.format(c='c_acctbal')} AS DOUBLE), 4) AS c_acctbal, {text.format(c='c_mktsegment')} AS c_mktsegment
+        FROM customer """
+        for name, form, text in (
+            ("count", "count({c})", "CAST(count({c}) AS VARCHAR)"), ("mean", "avg({c})", "NULL"),
+            ("stddev", "stddev_samp({c})", "NULL"), ("min", "min({c})", "min({c})"),
+            ("25%", "quantile_disc({c}, 0.25)", "NULL"), ("50%", "quantile_disc({c}, 0.5)", "NULL"),
+            ("75%", "quantile_disc({c}, 0.75)", "NULL"), ("max", "max({c})", "max({c})"),
         )
     ),
     "sample_1pct": """
@@ -493,6 +503,9 @@ ORACLE: dict[str, str] = {
                CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS type,
                "null" = 'YES' AS nullable
         FROM (DESCRIBE customer)""",
+    "quantiles_of_merged_sketches": """
+        SELECT CAST(0.01 AS DOUBLE) AS relative_error, CAST(p AS DOUBLE) AS probability, TRUE AS within_error
+        FROM (VALUES (0.25), (0.5), (0.75)) q(p)""",
     "corr_cov": """
         SELECT round(corr(value, user_id), 6) AS corr, round(covar_samp(value, user_id), 6) AS covar_samp
         FROM events""",
@@ -552,6 +565,11 @@ ORACLE: dict[str, str] = {
         _CLIMATE,
         "SELECT count(DISTINCT year) AS n_years, count(DISTINCT station) AS n_stations FROM parts",
     ),
+    "stations_of_periods": _with(
+        _CLIMATE,
+        """SELECT CAST(year // 3 * 3 AS INTEGER) AS first_year, count(DISTINCT station) AS n_stations, TRUE AS within_error
+           FROM parts GROUP BY 1""",
+    ),
     "hot_day_total": _with(_CLIMATE, "SELECT count(*) FILTER (is_hot) AS hot_days FROM parts"),
     "hot_days_by_year": _with(
         _CLIMATE, "SELECT year, count(*) FILTER (is_hot) AS hot_days FROM parts GROUP BY year"
@@ -593,6 +611,17 @@ ORACLE: dict[str, str] = {
            WHERE country = 'NATION_7' AND year > (SELECT max(year) FROM parts) - 3
            GROUP BY country, year""",
     ),
+    "precip_slope_world": _with(
+        _CLIMATE,
+        """SELECT round(regr_slope(total, year), 4) AS slope, round(regr_r2(total, year), 4) AS r2, count(total) AS n_years
+           FROM (SELECT year, sum(precipitation) AS total FROM parts GROUP BY year)""",
+    ),
+    "precip_slope_by_country": _with(
+        _CLIMATE,
+        """SELECT country, round(regr_slope(total, year), 4) AS slope, round(regr_r2(total, year), 4) AS r2, count(total) AS n_years
+           FROM (SELECT country, year, sum(precipitation) AS total FROM parts JOIN stations USING (station) GROUP BY country, year)
+           GROUP BY country""",
+    ),
     "temp_pct_by_year": _with(
         _CLIMATE,
         """SELECT year, round(avg(temperature), 6) AS avg_temperature,

@@ -170,6 +170,19 @@ def temperature_series(spark, sf_dir):
     return reports.measure_series(adapters.partly_named(spark, sf_dir), "temperature")
 
 
+@query
+def temperature_arrays(spark, sf_dir):
+    """The arrays as text: seconds of the day, and hundredths of a degree."""
+    arrays = reports.series_arrays(adapters.partly_named(spark, sf_dir), "temperature")
+    second = lambda t: F.date_format(t, "HH:mm:ss")
+    hundredths = lambda v: F.round(v * 100).cast("long").cast("string")
+    return arrays.select(
+        "label", "day", F.size("times").cast("long").alias("n"),
+        F.array_join(F.transform("times", second), " ").alias("times"),
+        F.array_join(F.transform("values", hundredths), " ").alias("values"),
+    )
+
+
 @query
 def wind_series(spark, sf_dir):
     return reports.measure_series(adapters.partly_named(spark, sf_dir, wind_filtered=True), "windspeed")
@@ -344,6 +357,16 @@ def distinct_ids(spark, sf_dir):
     return trips.distinct_ids(adapters.rides(spark, sf_dir))
 
 
+@query
+def distinct_ids_approximate(spark, sf_dir):
+    """The number of ids, and whether the estimate is within three standard deviations of it."""
+    rides = adapters.rides(spark, sf_dir)
+    exact = trips.distinct_ids(rides)
+    estimate = trips.distinct_ids(rides, error=0.02).select("nb_ids_uniques").scalar()
+    close = F.abs(estimate - F.col("nb_ids_uniques")) <= 3 * 0.02 * F.col("nb_ids_uniques")
+    return exact.select("nb_ids_uniques", close.alias("within_error"))
+
+
 @query
 def ordered_rides(spark, sf_dir):
     return trips.ordered_rides(adapters.rides(spark, sf_dir), "event_id")
@@ -396,7 +419,11 @@ def summary_count_max(spark, sf_dir):
 
 @query
 def summary_all(spark, sf_dir):
-    return _numeric(adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").summary(), "c_custkey", "c_acctbal")
+    """All eight statistics of every column; texts have a count, a least and a greatest value."""
+    customers = adapters.table(spark, sf_dir, "customer")
+    summary = profile.full_summary(customers)
+    numbers = [name for name, kind in customers.dtypes if kind != "string"]
+    return summary.withColumns({name: F.round(F.col(name).cast("double"), 4) for name in numbers})
 
 
 @query
@@ -411,6 +438,13 @@ def quantiles_approximate(spark, sf_dir):
     return profile.rank_errors(events, "value", QUANTILES, 0.05).union(profile.rank_errors(events, "value", QUANTILES, 0.01))
 
 
+@query
+def quantiles_of_merged_sketches(spark, sf_dir):
+    """Whether quantiles from one sketch per day keep their rank error."""
+    events = adapters.table(spark, sf_dir, "events")
+    return profile.sketched_rank_errors(events, "value", QUANTILES, 0.01, F.to_date("ts").alias("day"))
+
+
 @query
 def corr_cov(spark, sf_dir):
     events = adapters.table(spark, sf_dir, "events")
@@ -522,6 +556,18 @@ def years_stations(spark, sf_dir):
     return climate.years_and_stations(adapters.climate(spark, sf_dir))
 
 
+@query
+def stations_of_periods(spark, sf_dir):
+    """Stations of each period of three years, and whether the estimate from yearly sketches is within five percent."""
+    table = adapters.climate(spark, sf_dir)
+    first = (F.floor(F.year("date") / 3) * 3).cast("int").alias("first_year")
+    exact = table.groupBy(first).agg(F.count_distinct("station").alias("n_stations"))
+    estimated = climate.stations_of_periods(climate.station_sketches(table), 3)
+    both = exact.join(estimated.withColumnRenamed("n_stations", "estimate"), "first_year", "left")
+    close = F.abs(F.col("estimate") - F.col("n_stations")) <= 0.05 * F.col("n_stations")
+    return both.select("first_year", "n_stations", F.coalesce(close, F.lit(False)).alias("within_error"))
+
+
 @query
 def hot_day_total(spark, sf_dir):
     return climate.hot_days(adapters.climate(spark, sf_dir))
@@ -588,6 +634,17 @@ def precip_trend_country(spark, sf_dir):
     return rounded(trend, "total_precipitation", "avg_precipitation", decimals=2)
 
 
+@query
+def precip_slope_world(spark, sf_dir):
+    return rounded(climate.precipitation_slope_world(adapters.climate(spark, sf_dir)), "slope", "r2", decimals=4)
+
+
+@query
+def precip_slope_by_country(spark, sf_dir):
+    slopes = climate.precipitation_slope_by_country(adapters.climate(spark, sf_dir), adapters.stations(spark, sf_dir))
+    return rounded(slopes, "slope", "r2", decimals=4)
+
+
 @query
 def temp_pct_by_year(spark, sf_dir):
     compared = climate.temperature_vs_world_by_year(adapters.climate(spark, sf_dir))
