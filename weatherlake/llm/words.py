@@ -92,7 +92,7 @@ def hashed_words(texts: list[bytes], tables=SPACES) -> tuple[np.ndarray, np.ndar
         counts += np.bincount(np.searchsorted(bounds, starts + at, side="right"), minlength=len(texts))
         parts.append(h)
         at = end
-    return np.concatenate(parts), counts
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), counts
 
 
 def encoded(texts) -> list[bytes]:
