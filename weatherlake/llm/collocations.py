@@ -33,7 +33,6 @@ PIECE = 1 << 20
 SLICE = 8 << 20  # bytes of text, of all languages, held by a task
 SALTS = 64
 HOT = 256  # the counter of a prefix with more than one in so many words is dealt out over all bundles
-BUNDLES = 4  # bundles of counters in a shuffle partition
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # A-Z are lower-cased, what ends a piece becomes a line end, a tab a space.
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
@@ -173,7 +172,8 @@ def merged_stripes(docs: DataFrame, longest: int = LONGEST, least: int = LEAST_C
     For k = 1 the prefix is empty, and the cell without a next word holds the number of all words of the language.
     """
     schema = "lang string, bundle int, prefixes array<string>, of array<int>, nexts array<string>, counts array<int>"
-    bundles = BUNDLES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # As many bundles of counters in a language as there are shuffle partitions.
+    bundles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = in_small_batches(docs).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("_text")
     )
