@@ -8,7 +8,10 @@ two comes before the merges that built them.  Following the back-pointers gives
 
 from __future__ import annotations
 
+import hashlib
 import json
+import sys
+import types
 import unicodedata
 from array import array
 from itertools import chain
@@ -32,8 +35,10 @@ UNICODE_16 = (
     "1138B 1138E 11390-113B5 113B7 113D1 113D3 116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA "
     "16100-1611D 16130-16139 16D40-16D6C 16D70-16D79 18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA "
 )
-CACHED_PIECES = 200_000
+CACHED_PIECES = 250_000
 CACHED_CHARS = 64
+CACHED_PAIRS = 500_000
+WORKER = "weatherlake_worker_codecs"  # a module of the Python worker that outlives its tasks
 
 
 def _printable() -> dict[str, int]:
@@ -90,7 +95,7 @@ class Codec:
         longest = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
         self.known: dict[tuple[int, int], bool] = {}
-        self.cache = _Pieces(self)
+        self.cache, self.odd_cache = _Pieces(self, self.recent), _Pieces(self, None)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a, b next to each other stay as they are, when each is the encoding of its own bytes."""
@@ -118,7 +123,7 @@ class Codec:
                     pair = (last[before], token)
                     fits = known.get(pair)
                     if fits is None:
-                        if len(known) > 2_000_000:
+                        if len(known) >= CACHED_PAIRS:
                             known.clear()
                         fits = known[pair] = self.compatible(*pair)
                     if not fits:
@@ -130,49 +135,70 @@ class Codec:
             at -= size[at]
         return tuple(out[::-1])
 
-    def encode(self, text: str) -> chain:
+    def encode(self, text: str) -> list[int]:
         """Token ids of a text; added tokens are found first, as whole strings."""
-        get = self.cache.__getitem__
-        odd = self.recent is not None and not text.isascii() and self.recent.search(text)
-        piece = self.slow if odd else self.fast
         if self.special is None or not self.special.search(text):
-            return chain.from_iterable(map(get, piece.findall(text)))
-        parts = self.special.split(text)
-        return chain.from_iterable(
-            (self.added[p],) if i % 2 else chain.from_iterable(map(get, piece.findall(p))) for i, p in enumerate(parts)
-        )
+            return self._split(text)
+        out = []
+        for i, part in enumerate(self.special.split(text)):
+            out += (self.added[part],) if i % 2 else self._split(part)
+        return out
+
+    def _split(self, text: str) -> list[int]:
+        """Ids of a text without added tokens; a piece with a recent letter has it split anew."""
+        try:
+            return list(chain.from_iterable(map(self.cache.__getitem__, self.fast.findall(text))))
+        except _RecentLetter:
+            return list(chain.from_iterable(map(self.odd_cache.__getitem__, self.slow.findall(text))))
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+class _RecentLetter(Exception):
+    """A piece holds a letter or number that the library's Unicode does not know yet."""
+
+
 class _Pieces(dict):
-    """Ids of pieces seen; emptied when full, which costs time only."""
+    """Ids of pieces seen.  When full, what was not used since the last time is forgotten, which costs time only."""
 
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    def __init__(self, codec: Codec, refused):
+        self.codec, self.refused, self.older = codec, refused, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.codec.encode_piece(piece.encode("utf-8", "surrogatepass"))
+        ids = self.older.get(piece)
+        if ids is None:
+            if self.refused is not None and not piece.isascii() and self.refused.search(piece):
+                raise _RecentLetter
+            ids = self.codec.encode_piece(piece.encode("utf-8", "surrogatepass"))
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
-def _run(spec):
+def _worker_codec(digest: str, spec) -> Codec:
+    """The codec of a file, built once per Python worker; a worker keeps the one it used last."""
+    held = sys.modules.setdefault(WORKER, types.ModuleType(WORKER))
+    if getattr(held, "digest", None) != digest:
+        held.codec, held.digest = Codec(spec.value), digest
+    return held.codec
+
+
+def _run(digest, spec):
     def run(batches):
-        codec = Codec(spec.value)
+        codec = _worker_codec(digest, spec)
         for rows in (part for batch in batches for part in slices(batch, "_text")):
             flat, ends, decoded = array("i"), array("i", [0]), []
             for text in rows.column("_text").to_pylist():
-                start = len(flat)
-                flat.extend(codec.encode(text or ""))
+                ids = codec.encode(text or "")
+                flat.extend(ids)
                 ends.append(len(flat))
-                decoded.append(codec.decode(flat[start:]))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            arrays = [rows.column("doc_id"), ids, pa.array(decoded, pa.string())]
+                decoded.append(codec.decode(ids))
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            arrays = [rows.column("doc_id"), listed, pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
 
     return run
@@ -186,7 +212,9 @@ def encode_decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
     one by one, so repeated rows and null ids stay as they are.  Other columns are left out.
     """
     with open(vocabulary, encoding="utf-8") as file:
-        spec = df.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    digest = hashlib.sha256(content.encode()).hexdigest()
+    spec = df.sparkSession.sparkContext.broadcast(content)
     rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_run(spec), f"doc_id {kind}, ids array<int>, decoded string")
+    return rows.mapInArrow(_run(digest, spec), f"doc_id {kind}, ids array<int>, decoded string")
