@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.session import checkpoint_root
@@ -38,6 +39,26 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+class Shared:
+    """A broadcast object whose class travels with it, so that executors need no copy of this package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self):
+        return {"_sent": self._sent}
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = cloudpickle.loads(self._sent.value)
+        return self._value
+
+    def drop(self) -> None:
+        """Free it on driver and executors; a task that still asks for it fetches it again."""
+        self._sent.unpersist()
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal doc_id modulo ``folds``; a missing id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

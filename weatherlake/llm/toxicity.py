@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weatherlake.llm.common import in_small_batches
-from weatherlake.llm.words import LETTERS, encoded, hashed_words, slices
+from weatherlake.llm.common import Shared, in_small_batches
+from weatherlake.llm.words import LETTERS, encoded, give_back, hashed_words, slices
 
 BUCKETS, WIDTH_EACH = 1 << 18, 6
 WIDTHS, FILTERS = (1, 2, 3), 12
@@ -216,6 +216,15 @@ def _words_of(batches):
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "words", "label", "lang"])
 
 
+def _split_words(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The bucket pairs of each text, as views of the column."""
+    parts = []
+    for words in column.chunks:
+        flat, bounds = words.values.to_numpy().reshape(-1, 2), words.offsets.to_numpy() // 2
+        parts += [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    return parts
+
+
 def _counted(shared):
     def run(batches):
         model = shared.value
@@ -236,9 +245,11 @@ def calibrate(texts: DataFrame, labels: DataFrame, net: Network) -> None:
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
     # Texts are scored before the join, so that only ids and bins are shuffled.
-    bins = texts.mapInArrow(_counted(texts.sparkSession.sparkContext.broadcast(net)), f"doc_id {kind}, lang string, bin int")
+    shared = Shared(texts.sparkSession, net)
+    bins = texts.mapInArrow(_counted(shared), f"doc_id {kind}, lang string, bin int")
     toxic = F.sum((F.col("_label") > 0).cast("long")).alias("toxic")
     found = bins.join(labels, "doc_id").groupBy("lang", "bin").agg(toxic, F.count("*").alias("n")).toPandas()
+    shared.drop()
     positive, harmless = found["toxic"].to_numpy(np.float64), (found["n"] - found["toxic"]).to_numpy(np.float64)
     if not positive.sum() or not harmless.sum():
         return
@@ -276,13 +287,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
     kind = used.schema["doc_id"].dataType.simpleString()
     used = used.select("doc_id", "_text", "_label", "lang")
     used = used.mapInArrow(_words_of, f"doc_id {kind}, words array<int>, label int, lang string").toArrow()
-    words = used.column("words").combine_chunks()
-    flat, bounds = words.flatten().to_numpy().reshape(-1, 2), words.offsets.to_numpy() // 2
-    bounds = bounds - bounds[0] if len(bounds) else bounds
-    parts = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    ids, langs = used.column("doc_id").to_pylist(), used.column("lang").to_pylist()
     y = np.array(used.column("label").to_pylist(), dtype=np.float32)
-    net = fit(parts, y, used.column("lang").to_pylist())
-    trained = {i for i, t in zip(used.column("doc_id").to_pylist(), trained_rows(y)) if t}
+    net = fit(_split_words(used.column("words")), y, langs)
+    # The driver keeps nothing of the sample while later jobs run.
+    del used
+    give_back()
+    trained = {i for i, t in zip(ids, trained_rows(y)) if t}
     trained = docs.sparkSession.createDataFrame([(i,) for i in trained], f"doc_id {kind}")
     # Broadcast: at most ``rows`` ids.
     calibrate(texts, known.join(F.broadcast(trained), "doc_id", "left_anti"), net)
@@ -295,7 +306,7 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
     Null and empty texts are scored as a text without words, unknown or null languages have the common threshold.
     Rows are handled one by one, so repeated rows and null ids stay as they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # its size does not depend on the table
+    shared = Shared(docs.sparkSession, net)  # its size does not depend on the table
 
     def run(batches):
         model = shared.value
@@ -314,7 +325,7 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 
 def clean(docs: DataFrame, net: Network) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = Shared(docs.sparkSession, net)
 
     def run(batches):
         model = shared.value
