@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -67,7 +68,7 @@ def brute_classes(rows):
     return [root(i) for i in range(len(rows))]
 
 
-def near_case(spark, docs):
+def near_case(spark, docs, **options):
     rows = docs.collect()
     labels = brute_classes(rows)
     ids = defaultdict(list)
@@ -76,7 +77,7 @@ def near_case(spark, docs):
     expected = Counter(
         (row.doc_id, min((i for i in ids[x] if i is not None), default=None), len(ids[x])) for x, row in zip(labels, rows)
     )
-    found = near_duplicates(docs).collect()
+    found = near_duplicates(docs, **options).collect()
     assert Counter((r.doc_id, r.class_id, r.class_size) for r in found) == expected
     kept = Counter(r.class_id for r in found if r.kept)
     assert all(r.doc_id == r.class_id for r in found if r.kept)
@@ -103,6 +104,32 @@ def test_near_duplicates_in_chains_and_hot_groups(spark):
     near_case(spark, docs)
 
 
+def test_near_duplicates_around_a_common_base(spark):
+    """Copies at the edge of the threshold, cut ones, such with common edits, repeated shingles; the base itself may be missing."""
+    rng = random.Random(5)
+    base = prose(14, 160).split()
+    texts = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(1, 9)):
+            copy[rng.randrange(len(copy))] = f"edit{rng.randrange(4)}"
+        if i % 3 == 0:
+            copy = copy[: rng.randint(110, 150)]
+        if i % 5 == 0:
+            copy += base[20 : 20 + rng.randint(6, 40)]
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near_case(spark, docs)
+    near_case(spark, docs, bands=60, rows=2)
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Thue-Morse words of 1,024 letters and their complements are different texts."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    docs = spark.createDataFrame([(1, word), (2, word.translate(str.maketrans("ab", "ba")))], "doc_id long, text string")
+    near_case(spark, docs)
+
+
 def test_near_duplicates_of_nothing(no_documents):
     assert near_duplicates(no_documents).collect() == []
 

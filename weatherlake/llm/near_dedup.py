@@ -8,12 +8,17 @@ with probability equal to their weighted Jaccard similarity.  Points are drawn i
 process ends where it passes the largest value still wanted, so long texts cost little more than one point a shingle.
 
 Equal bags are folded into one node first.  Nodes that share a band are candidates; within a
-bucket they are compared to one leader at a time, and only pairs that still lie in different components
-after these rounds are compared one by one.  A pair counts when its multiset overlap reaches the threshold.
-
-Two exact bounds spare most comparisons: a pair's overlap is at most the smaller weight, and at most the weight of
-those shingles of either node that any other candidate has at all.  Of many copies with edits of their own
-the second bound leaves only those that are close to a common text.
+bucket they are compared to one leader at a time.  Buckets that then still hold several components are opened
+up: with the most common member as base, a pair's overlap is what both share with the base, at most the smaller of
+the two shares, and what they share beyond it.  If neither is lighter than the base and they are not both linked to it,
+the first part falls short of the threshold (a node not linked to the base B shares less than 4/9 of its own and B's
+weight with it), so the pair must share a shingle beyond the base: nodes meet again by base and such a shingle, and of many
+copies with edits of their own only those with common edits do.  Of those shingles, in a fixed order, a node shows as
+many as leave less than the weight it needs.  Pairs with a node lighter than the base whose share
+alone could suffice meet by the base.  A pair counts when its multiset overlap reaches the threshold.
+
+Two exact bounds spare more comparisons: a pair's overlap is at most the smaller weight, and at most the weight of
+those shingles of either node that any other candidate has at all.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weatherlake.functions.joins import lookup_join
 from weatherlake.llm.common import in_small_batches, keep, probe_join
@@ -249,41 +254,125 @@ def _own_weights(texts: DataFrame) -> DataFrame:
     return lookup_join(own, names.filter("n = 1"), ["name"]).select("node", "own")
 
 
+def _beyond(similarity: tuple[int, int]):
+    """What b shares with its base a, whether they are linked, and the shingles that b has beyond a."""
+    num, den = similarity
+    names = ["a", "b", "weight", "base", "light", "linked", "shingles", "extras"]
+
+    def run(batches):
+        known = _Bags()
+        for batch in (p for b in batches for p in slices(b, "_text_b")):
+            rows = []
+            for row in batch.to_pylist():
+                s1, c1 = known.of(row["a"], row["_text_a"])
+                s2, c2 = known.of(row["b"], row["_text_b"])
+                _, i, j = np.intersect1d(s1, s2, assume_unique=True, return_indices=True)
+                extra = c2.copy()
+                extra[j] -= np.minimum(c1[i], c2[j])
+                lead, weight = int(c1.sum()), int(c2.sum())
+                base = weight - int(extra.sum())
+                more = np.flatnonzero(extra)
+                linked = base * den >= num * (lead + weight - base)
+                rows.append((row["a"], row["b"], weight, base, weight < lead, linked, s2[more].view(np.int64), extra[more].astype(np.int64)))
+            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+
+    return run
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = lookup_join(pairs, texts.select(F.col("node").alias(side), F.col("text").alias(f"_text_{side}")), [side])
+    return pairs
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members of buckets that hold several components, with their labels."""
+    plain = members.drop("label")
+    if labels is None:
+        return plain.withColumn("label", F.col("node"))
+    members = probe_join(plain, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
+    split = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    return keep(lookup_join(members, split.filter("x <> y").select("key"), ["key"]), "open-buckets")
+
+
+def _leaders(members: DataFrame, popular: DataFrame | None, turn: int) -> DataFrame:
+    """One member of each bucket: the one in most candidate pairs, or one by chance."""
+    ranked = members if popular is None else lookup_join(members, popular, ["node"])
+    rank = F.xxhash64(F.lit(turn), "key", "node") if popular is None else F.col("_popular")
+    chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "base", "more", "label")).alias("_l"))
+    return chosen.select("key", *[F.col(f"_l.{c}").alias(f"_{c}") for c in ("node", "weight", "base", "more", "label")])
+
+
+def _pairs(members: DataFrame, others: DataFrame, similarity: tuple[int, int], *also) -> DataFrame:
+    """Pairs of a bucket in different components whose bounds reach the threshold."""
+    num, den = similarity
+    pairs = lookup_join(members, others, ["key"]).filter(F.col("label") != F.col("_label"))
+    most = F.least("base", "_base") + F.least("more", "_more")  # bounds the overlap
+    pairs = pairs.filter(most * den >= (F.col("weight") + F.col("_weight") - most) * num)
+    for condition in also:
+        pairs = pairs.filter(condition)
+    return pairs.select(F.least("_node", "node").alias("a"), F.greatest("_node", "node").alias("b")).distinct()
+
+
+def _others(members: DataFrame) -> DataFrame:
+    return members.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "weight", "base", "more", "label")])
+
+
+def _opened(members: DataFrame, popular: DataFrame, texts: DataFrame, similarity: tuple[int, int]):
+    """What the members of open buckets share with their base: verified links to it, members by base and shingle beyond it, and
+    members by base whose share alone could reach the threshold."""
+    num, den = similarity
+    chosen = _leaders(members, popular, 0).select("key", F.col("_node").alias("a"))
+    met = lookup_join(members.select("key", F.col("node").alias("b")), chosen, ["key"]).select("a", "b").distinct()
+    schema = "a binary, b binary, weight long, base long, light boolean, linked boolean, shingles array<long>, extras array<long>"
+    found = keep(_with_texts(met, texts).mapInArrow(_beyond(similarity), schema), "beyond")
+    rows = found.select(
+        "a", F.col("b").alias("node"), "weight", "base", F.explode(F.arrays_zip("shingles", "extras")).alias("_s")
+    ).select("a", "node", "weight", "base", F.col("_s.shingles").alias("shingle"), F.col("_s.extras").alias("extra"))
+    common = rows.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle")
+    rows = lookup_join(rows, common, ["a", "shingle"])
+    whole = Window.partitionBy("a", "node")
+    before = whole.orderBy("shingle").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("more", F.sum("extra").over(whole)).withColumn("before", F.coalesce(F.sum("extra").over(before), F.lit(0)))
+    # Any partner shares at least this much beyond the base.
+    need = F.greatest(F.lit(1), F.ceil(F.col("weight") * num / den).cast("long") - F.col("base"))
+    shown = rows.filter((F.col("base") + F.col("more")) * den >= F.col("weight") * num).filter(F.col("more") - F.col("before") >= need)
+    beyond = shown.select(F.xxhash64("a", "shingle").alias("key"), "node", "weight", "base", "more")
+    alone = found.filter(F.col("base") * den >= F.col("weight") * num)
+    alone = alone.select(F.xxhash64("a").alias("key"), F.col("b").alias("node"), "weight", "base", F.lit(0).cast("long").alias("more"), "light")
+    return found.filter("linked and a <> b").select("a", "b"), keep(beyond, "beyond-buckets"), alone
+
+
 def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Component labels of the nodes that have a verified link."""
-    num, den = similarity
-    members = shared.select("key", "node", "weight", "met", F.col("node").alias("label"))
     popular = shared.groupBy("node").agg(F.sum("n").alias("_popular"))
+    buckets = shared.select("key", "node", "weight", F.col("met").alias("base"), F.lit(0).cast("long").alias("more"))
     edges, labels = None, None
-    for turn in range(LEADER_ROUNDS + 2):
-        if labels is not None:  # buckets that still hold several components
-            members = probe_join(shared.select("key", "node", "weight", "met"), labels, ["node"], "left")
-            members = members.withColumn("label", F.coalesce("label", "node"))
-            split = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-            members = keep(lookup_join(members, split.filter("x <> y").select("key"), ["key"]), "open-buckets")
-            if members.isEmpty():
-                break
-        if turn <= LEADER_ROUNDS:  # first the member that shares most, then others by chance
-            ranked = lookup_join(members, popular, ["node"]) if turn == 0 else members
-            rank = F.col("_popular") if turn == 0 else F.xxhash64(F.lit(turn), "key", "node")
-            chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "met", "label")).alias("_l"))
-        else:
-            # A pair is compared in the least bucket that it shares: none of the lower ones may be common.
-            keys = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
-            members = lookup_join(members, keys, ["node"])
-            members = members.withColumn("lower", F.filter("keys", lambda k: k < F.col("key")))
-            chosen = members.select("key", F.struct("node", "weight", "met", "label", "lower").alias("_l"))
-        chosen = chosen.select("key", F.col("_l.node").alias("a"), F.col("_l.weight").alias("_w"), F.col("_l.met").alias("_met"),
-                               F.col("_l.label").alias("_label"), *([F.col("_l.lower").alias("_lower")] if turn > LEADER_ROUNDS else []))
-        pairs = lookup_join(members, chosen, ["key"]).filter(F.col("label") != F.col("_label"))
-        if turn > LEADER_ROUNDS:
-            pairs = pairs.filter("a < node").filter(~F.arrays_overlap("lower", "_lower"))
-        most = F.least("met", "_met")  # bounds the overlap, and is at most the smaller weight
-        pairs = pairs.filter(most * den >= (F.col("weight") + F.col("_w") - most) * num)
-        pairs = pairs.select("a", F.col("node").alias("b")).distinct()
-        for side in ("a", "b"):
-            pairs = lookup_join(pairs, texts.select(F.col("node").alias(side), F.col("text").alias(f"_text_{side}")), [side])
-        new = keep(pairs.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
+
+    def verified(pairs: DataFrame) -> None:
+        nonlocal edges, labels
+        new = keep(_with_texts(pairs, texts).mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
         edges = new if edges is None else edges.union(new)
         labels = components(edges)
+
+    for turn in range(LEADER_ROUNDS + 1):  # first the member that shares most, then others by chance
+        members = _labelled(buckets, labels)
+        if labels is not None and members.isEmpty():
+            return labels
+        verified(_pairs(members, _leaders(members, popular if turn == 0 else None, turn), similarity))
+    members = _labelled(buckets, labels)
+    if members.isEmpty():
+        return labels
+    links, beyond, alone = _opened(members, popular, texts, similarity)
+    edges = edges.union(links)
+    labels = components(edges)
+    members = _labelled(beyond, labels)
+    verified(_pairs(members, _leaders(members, popular, 0), similarity))
+    # What is left is compared one by one.
+    members = _labelled(beyond, labels)
+    alone = _labelled(alone, labels)
+    by_base = _pairs(alone.filter("light"), _others(alone), similarity)
+    verified(_pairs(members, _others(members), similarity, F.col("_node") < F.col("node")).union(by_base).distinct())
     return labels
