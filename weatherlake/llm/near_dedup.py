@@ -190,6 +190,22 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after further links: only the components that these touch are joined, each as one node."""
+    if labels is None:
+        return components(links)
+    for side in ("a", "b"):
+        links = probe_join(links, labels.select(F.col("node").alias(side), F.col("label").alias("_top")), [side], "left")
+        links = links.withColumn(side, F.coalesce("_top", side)).drop("_top")
+    links = keep(links.filter("a <> b").distinct(), "links")
+    if links.isEmpty():
+        return labels
+    moved = components(links)
+    tops = moved.select(F.col("node").alias("label"), F.col("label").alias("_top"))
+    old = probe_join(labels, tops, ["label"], "left").select("node", F.coalesce("_top", "label").alias("label"))
+    return keep(old.union(moved.join(labels, "node", "left_anti").select("node", "label")), "labels")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS,
     similarity: tuple[int, int] = SIMILARITY,
@@ -349,30 +365,25 @@ def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) ->
     """Component labels of the nodes that have a verified link."""
     popular = shared.groupBy("node").agg(F.sum("n").alias("_popular"))
     buckets = shared.select("key", "node", "weight", F.col("met").alias("base"), F.lit(0).cast("long").alias("more"))
-    edges, labels = None, None
+    labels = None
 
-    def verified(pairs: DataFrame) -> None:
-        nonlocal edges, labels
-        new = keep(_with_texts(pairs, texts).mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
-        edges = new if edges is None else edges.union(new)
-        labels = components(edges)
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _joined(labels, keep(_with_texts(pairs, texts).mapInArrow(_verified(similarity), "a binary, b binary"), "verified"))
 
     for turn in range(LEADER_ROUNDS + 1):  # first the member that shares most, then others by chance
         members = _labelled(buckets, labels)
         if labels is not None and members.isEmpty():
             return labels
-        verified(_pairs(members, _leaders(members, popular if turn == 0 else None, turn), similarity))
+        labels = verified(_pairs(members, _leaders(members, popular if turn == 0 else None, turn), similarity))
     members = _labelled(buckets, labels)
     if members.isEmpty():
         return labels
     links, beyond, alone = _opened(members, popular, texts, similarity)
-    edges = edges.union(links)
-    labels = components(edges)
+    labels = _joined(labels, links)
     members = _labelled(beyond, labels)
-    verified(_pairs(members, _leaders(members, popular, 0), similarity))
+    labels = verified(_pairs(members, _leaders(members, popular, 0), similarity))
     # What is left is compared one by one.
     members = _labelled(beyond, labels)
     alone = _labelled(alone, labels)
     by_base = _pairs(alone.filter("light"), _others(alone), similarity)
-    verified(_pairs(members, _others(members), similarity, F.col("_node") < F.col("node")).union(by_base).distinct())
-    return labels
+    return verified(_pairs(members, _others(members), similarity, F.col("_node") < F.col("node")).union(by_base).distinct())
