@@ -20,6 +20,16 @@ def test_empty_buffers_have_no_words(texts):
     assert len(hashes) == counts.sum() and len(counts) == len(texts)
 
 
+@pytest.mark.parametrize("bits", [8, 10, 11, 13])
+def test_built_words_have_names_of_their_own(bits):
+    """Thue-Morse words and their complements, over which polynomials modulo 2**64 agree."""
+    word = bytes(b"ab"[bin(i).count("1") % 2] for i in range(1 << bits))
+    other = word.translate(bytes.maketrans(b"ab", b"ba"))
+    hashes, counts = hashed_words([word, other, b"x " + word.upper()])
+    assert counts.tolist() == [1, 1, 2]
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[3]
+
+
 # --- spelling ---------------------------------------------------------------------------
 
 LOWER = {c: c + 32 for c in range(65, 91)}
