@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -88,6 +89,21 @@ def test_toxicity_thresholds_use_all_labelled_rows(spark):
     assert right(net.thresholds["rare"]) >= max(right(c) for c in [0.05, 0.95] + [p for p, _ in rare if 0.05 < p < 0.95]) - 1
 
 
+def test_toxicity_fit_leaves_the_driver(spark, monkeypatch):
+    """A task fits on the sample; the driver only gets the net and the ids trained on."""
+    rows = [(i, f"w{i % 7} {'bad' if i % 3 == 0 else 'good'} w{i % 5}", "en", int(i % 3 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    driver, fit = os.getpid(), toxicity.fit
+
+    def elsewhere(docs, y, langs):
+        assert os.getpid() != driver and len(docs) == len(y) == 200
+        return fit(docs, y, langs)
+
+    monkeypatch.setattr(toxicity, "fit", elsewhere)
+    net = toxicity.train(df, df.select("doc_id", "toxic"))
+    assert {r.doc_id for r in toxicity.score(df, net).collect() if r.rejected} == set(range(0, 200, 3))
+
+
 def test_seating_keeps_customers_and_follows_the_process():
     rng = np.random.default_rng(1)
     seats = Seating(np.full(20_000, 3), np.ones(20_000, dtype=np.int64))
