@@ -12,7 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from weatherlake.llm import quality, toxicity
-from weatherlake.llm.language_model import START, Seating, _binary, _pack, _pair_discount, score_documents
+from weatherlake.llm.language_model import (
+    RARE, START, RarePairs, Seating, ShardState, TableCounts, _binary, _pack, _pair_discount, _pair_names, score_documents,
+)
 from weatherlake.llm.queries import LLM_QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -187,6 +189,56 @@ def test_language_model_ranks_short_texts(spark):
     assert sum(10**s for s in found.values()) < 1.0
 
 
+def test_rare_contexts_have_restaurants(spark):
+    """Words after a context of 2 in 26,000 tokens are told apart, and their probabilities sum to 1."""
+    filler = [f"w{i % 40} w{i * 7 % 40} w{i * 3 % 40}" for i in range(6000)]
+    texts = [*filler, "alpha beta", "alpha beta", "gamma delta", "gamma delta", "alpha w1"]
+    words = [f"w{i}" for i in range(40)] + ["alpha", "beta", "gamma", "delta", "unseen"]
+    asked = ["alpha", "alpha beta", "alpha delta"] + [f"alpha {w}" for w in words]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(10_000 + i, t, False) for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    found = {r.doc_id - 10_000: r.score for r in score_documents(df, F.col("train")).collect() if r.doc_id >= 10_000}
+    assert found[1] > found[2] + 1
+    # P(alpha) P(w | alpha) P(end | w) for every w; the end is nearly sure only after beta and delta, so bounds are loose.
+    assert sum(10 ** found[3 + i] for i in range(len(words))) < 10 ** found[0] * 4
+
+
+def test_rare_pairs_are_normalised():
+    """Own shares and the rest of a rare context sum to 1 over its words, whatever their own probabilities."""
+    words = np.sort(np.array([5, 9, 1 << 40, 3 << 50], np.uint64))
+    context = np.array([RARE, RARE, RARE, START])
+    state = ShardState(words, np.arange(4), context, np.array([2, 1, 3, 6]), np.array([9, 9, 9], np.uint64))
+    assert state.direct.tolist() == [1, 1, 1, 0] and state.count.tolist() == [2, 1, 3, 6]
+    state.count[1] = 6  # the context occurs as often as words follow it
+    names, count, contexts = state.rare
+    own = {"rare_names": names.tobytes(), "rare_count": _pack(count), "rare_context": contexts.tobytes(), "rare_words": None, "origin": None, "followers": None}
+    t = np.array([3])
+    answer = {**dict.fromkeys(own), "origin": 0, "followers": _pack(t)}
+    known = {**dict.fromkeys(own), "rare_words": np.array([9], np.uint64).tobytes(), "followers": _pack(t)}
+    rare = RarePairs([own, answer, known], 0.6, state)
+    p = np.array([0.1, 0.2, 0.3, 0.4])
+    added = rare.of(_pair_names(words, np.full(4, 9, np.uint64)))
+    assert added[3] == 0 and (10 ** rare.log_share[1] * (added + p)).sum() == pytest.approx(1.0)
+
+
+def test_drawn_tables_follow_the_process():
+    rng = np.random.default_rng(4)
+    a, d = 0.7, 0.4
+    tables = TableCounts(d).draw(np.full(40_000, 3), np.full(40_000, a), rng)
+    weights = np.array([a * (1 - d) * (2 - d), 3 * a * a * (1 - d), a**3])
+    assert np.abs(np.bincount(tables, minlength=4)[1:] / 40_000 - weights / weights.sum()).max() < 0.01
+    mixed = np.array([1, 2, 700, 1024, 5, 1])
+    drawn = TableCounts(0.7).draw(np.tile(mixed, 300), np.full(1800, 20.0), rng).reshape(300, -1)
+    assert (drawn >= 1).all() and (drawn <= mixed).all() and (drawn[:, [0, 5]] == 1).all()
+    # Where customers move one by one, many sweeps lead to the same distribution.
+    seats, means = Seating(np.full(600, 100), np.ones(600, dtype=np.int64)), []
+    for _ in range(40):
+        seats.sweep(np.full(600, 8.0), 0.7, rng)
+        means.append(seats.tables().mean())
+    drawn = TableCounts(0.7).draw(np.full(6000, 100), np.full(6000, 8.0), rng)
+    assert drawn.mean() == pytest.approx(np.mean(means[20:]), rel=0.03)
+
+
 def test_pair_discount_counts_every_shard(spark):
     """Pairs once and twice of all shards, not of the first alone."""
     def row(shard, words, counts):
