@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import zlib
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weatherlake.llm import quality, toxicity
+from weatherlake.llm import language_model, quality, toxicity
 from weatherlake.llm.language_model import (
     RARE, START, RarePairs, Seating, ShardState, TableCounts, _binary, _pack, _pair_discount, _pair_names, score_documents,
 )
@@ -203,6 +204,18 @@ def test_rare_contexts_have_restaurants(spark):
     assert sum(10 ** found[3 + i] for i in range(len(words))) < 10 ** found[0] * 4
 
 
+def test_probabilities_of_all_short_texts_sum_to_one_at_most(spark, monkeypatch):
+    """With every context but the start rare, the texts of up to four words have nearly the whole probability."""
+    monkeypatch.setattr(language_model, "CONTEXT_SHARE", 2)
+    texts = ["a b", "a b", "a b", "a c", "b", "b c", "c", "a b c", "a b", "c b"] * 3
+    asked = [" ".join(t) for n in range(5) for t in itertools.product(["a", "b", "c", "unseen"], repeat=n)]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(1000 + i, t, False) for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    found = {r.doc_id - 1000: r.score for r in score_documents(df, F.col("train")).collect() if r.doc_id >= 1000}
+    assert 0.9 < sum(10**s for s in found.values()) < 1.0
+    assert found[asked.index("a b")] > found[asked.index("a a")] + 0.5
+
+
 def test_rare_pairs_are_normalised():
     """Own shares and the rest of a rare context sum to 1 over its words, whatever their own probabilities."""
     words = np.sort(np.array([5, 9, 1 << 40, 3 << 50], np.uint64))
