@@ -223,12 +223,12 @@ def test_rare_pairs_are_normalised():
     state = ShardState(words, np.arange(4), context, np.array([2, 1, 3, 6]), np.array([9, 9, 9], np.uint64))
     assert state.direct.tolist() == [1, 1, 1, 0] and state.count.tolist() == [2, 1, 3, 6]
     state.count[1] = 6  # the context occurs as often as words follow it
-    names, count, contexts = state.rare
-    own = {"rare_names": names.tobytes(), "rare_count": _pack(count), "rare_context": contexts.tobytes(), "rare_words": None, "origin": None, "followers": None}
+    count, contexts = state.rare
+    own = {"rare_per_word": _pack(state.direct), "rare_count": _pack(count), "rare_context": contexts.tobytes(), "rare_words": None, "origin": None, "followers": None}
     t = np.array([3])
     answer = {**dict.fromkeys(own), "origin": 0, "followers": _pack(t)}
     known = {**dict.fromkeys(own), "rare_words": np.array([9], np.uint64).tobytes(), "followers": _pack(t)}
-    rare = RarePairs([own, answer, known], 0.6, state)
+    rare = RarePairs([own, answer, known], 0.6, words, state.count)
     p = np.array([0.1, 0.2, 0.3, 0.4])
     added = rare.of(_pair_names(words, np.full(4, 9, np.uint64)))
     assert added[3] == 0 and (10 ** rare.log_share[1] * (added + p)).sum() == pytest.approx(1.0)
