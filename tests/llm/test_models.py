@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weatherlake.llm import language_model, quality, toxicity
+from weatherlake.llm import common, language_model, quality, toxicity
 from weatherlake.llm.language_model import (
     RARE, START, RarePairs, Seating, ShardState, TableCounts, _binary, _pack, _pair_discount, _pair_names, score_documents,
 )
@@ -268,3 +268,74 @@ def test_language_model_returns_perplexity(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, "c"), (3, "unseen a")], "doc_id long, text string")
     for r in score_documents(df, F.col("doc_id") < 3).collect():
         assert r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) and r.perplexity > 1
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(8)
+    for a in ([], [0], [255, 256], [0, 1 << 40, 3], rng.integers(0, 70_000, 999)):
+        assert language_model._unpack(_pack(np.array(a, np.int64))).tolist() == list(a)
+    assert len(_pack(rng.integers(0, 300, 10_000))) < 12_500 and len(_pack(np.ones(10_000, np.int64))) < 100
+
+
+def test_texts_are_kept_by_places_of_their_pairs():
+    """Places lead back to words and contexts, also of words and pairs that no training row has, and each text keeps its counts."""
+    rng = np.random.default_rng(9)
+    hashes = np.sort(rng.integers(1, 1 << 63, 30, dtype=np.uint64))
+    blocks = []
+    for _ in range(5):
+        words = np.sort(rng.choice(hashes, 12, replace=False))
+        per_word = rng.integers(1, 6, 12)
+        context = rng.choice([RARE, RARE, START, 2, 3], per_word.sum())
+        rare = rng.choice(hashes, (context == RARE).sum())
+        trained = rng.integers(0, 3, len(context)) * (np.repeat(words, per_word) != hashes[4])
+        per_pair = rng.integers(1, 4, len(context))
+        blocks.append((words, per_word, context, rare, trained, per_pair, rng.integers(0, 9, per_pair.sum()), rng.integers(1, 500, per_pair.sum())))
+    words, per_word, context, rare, trained, per_pair, doc, times = (np.concatenate(x) for x in zip(*blocks))
+    state = ShardState(words, np.repeat(np.arange(len(words)), per_word), context, trained, rare)
+    count, behind = state.rare
+    assert hashes[4] not in state.words
+    pairs = [(state.words[k >> 16], k & 0xFFFF, 0) for k in state.pair_key.tolist()]
+    pairs += [(w, RARE, b) for w, b in zip(np.repeat(state.words, state.direct), behind)]
+    total = Counter()
+    at = iter(rare.tolist())
+    pair_of = [(w, c, next(at) if c == RARE else 0) for w, c in zip(np.repeat(words, per_word).tolist(), context.tolist())]
+    for p, n in zip(pair_of, trained.tolist()):
+        total[p] += n
+    assert {tuple(map(int, p)): n for p, n in zip(pairs, [*state.pair_count.tolist(), *count.tolist()])} == {p: n for p, n in total.items() if n}
+
+    def known(p):  # what scoring needs of a pair: without training tokens of the word or the pair less of it
+        w = p[0] if p[0] in state.words else None
+        return (w, p[1], p[2] if total[p] else None)
+
+    per_row = np.array([len(b[2]) for b in blocks])
+    unpacked = language_model._placed(state.codes, per_row, per_pair, doc, times)
+    entry_at, pair_at = np.append(0, np.cumsum(per_pair)), np.append(0, np.cumsum(per_row))
+    for row, packed in enumerate(unpacked):
+        steps, n, docs, often = map(language_model._unpack, packed)
+        places = np.cumsum(steps)
+        assert (steps >= 0).all()
+        found = []
+        for p in places.tolist():
+            if p < len(pairs):
+                found.append(known(tuple(map(int, pairs[p]))))
+            else:
+                w, c = divmod(p - len(pairs), 1 << 16)
+                found.append((int(state.words[w]) if w < state.kinds else None, c, None))
+        got = sorted(zip(map(str, np.repeat(np.array([str(f) for f in found]), n)), docs.tolist(), often.tolist()))
+        want = []
+        for i in range(pair_at[row], pair_at[row + 1]):
+            want += [(str(known(pair_of[i])), d, t) for d, t in zip(doc[entry_at[i] : entry_at[i + 1]].tolist(), times[entry_at[i] : entry_at[i + 1]].tolist())]
+        assert got == sorted(want)
+
+
+def test_language_model_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    """Texts are shuffled with their hashes once, and tables that nothing reads again are deleted."""
+    monkeypatch.setattr(common, "checkpoint_root", lambda spark: str(tmp_path))
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    found = score_documents(docs, train_rows())
+    assert spark.conf.get(name, None) == before
+    assert not set(found.inputFiles()) & set(docs.inputFiles())
+    assert sorted(f.name.split("-")[0] for f in tmp_path.iterdir()) == ["followers", "seats", "seats"]
+    assert found.count() == docs.count()
