@@ -123,6 +123,26 @@ def test_near_duplicates_around_a_common_base(spark):
     near_case(spark, docs, bands=60, rows=2)
 
 
+def test_near_duplicates_start_few_jobs(spark):
+    """The driver plans every job and keeps its figures, so its memory follows their number; all rounds run here."""
+    rng = random.Random(6)
+    base = prose(15, 160).split()
+    texts = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(1, 9)):
+            copy[rng.randrange(len(copy))] = f"edit{rng.randrange(4)}"
+        texts.append(" ".join(copy[: rng.randint(120, 160)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    context = spark.sparkContext
+    context.setJobGroup("near-duplicates", "")
+    try:
+        assert near_duplicates(docs, bands=60, rows=2).count() == len(texts)
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(context.statusTracker().getJobIdsForGroup("near-duplicates")) <= 105
+
+
 def test_words_that_polynomials_confuse(spark):
     """Thue-Morse words of 1,024 letters and their complements are different texts."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))

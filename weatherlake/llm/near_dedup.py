@@ -8,7 +8,7 @@ with probability equal to their weighted Jaccard similarity.  Points are drawn i
 process ends where it passes the largest value still wanted, so long texts cost little more than one point a shingle.
 
 Equal bags are folded into one node first.  Nodes that share a band are candidates; within a
-bucket they are compared to one leader at a time.  Buckets that then still hold several components are opened
+bucket they are compared to its leaders, the member in most candidate pairs and one by chance.  Buckets that then still hold several components are opened
 up: with the most common member as base, a pair's overlap is what both share with the base, at most the smaller of
 the two shares, and what they share beyond it.  If neither is lighter than the base and they are not both linked to it,
 the first part falls short of the threshold (a node not linked to the base B shares less than 4/9 of its own and B's
@@ -37,7 +37,7 @@ from weatherlake.llm.words import _mix, encoded, hashed_words, slices
 SHINGLE = 5
 BANDS, ROWS = 40, 5
 SIMILARITY = (4, 5)  # overlap / union of at least 4/5
-LEADER_ROUNDS = 1
+CHANCE_LEADERS = 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -170,13 +170,22 @@ def _verified(similarity: tuple[int, int]):
     return run
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """node, other: every edge from both its ends; the edges are worked out once."""
+    ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in (("a", "b"), ("b", "a"))]
+    return edges.select(F.explode(F.array(*ways)).alias("_way")).select("_way.node", "_way.other").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, label: the least node of each connected component, for all nodes with an edge.
+    """node, label: the least node of each connected component, for all nodes with an edge."""
+    return _spread(keep(_both_ways(edges), "links"))
+
+
+def _spread(both: DataFrame) -> DataFrame:
+    """The components of a kept table of edges from both their ends.
 
     Labels spread to neighbours and then jump to their label's label; few rounds suffice.
     """
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
-    both = keep(both.distinct(), "links")
     labels = keep(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
         theirs = labels.select(F.col("node").alias("other"), F.col("label").alias("theirs"))
@@ -197,10 +206,10 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         links = probe_join(links, labels.select(F.col("node").alias(side), F.col("label").alias("_top")), [side], "left")
         links = links.withColumn(side, F.coalesce("_top", side)).drop("_top")
-    links = keep(links.filter("a <> b").distinct(), "links")
-    if links.isEmpty():
+    both = keep(_both_ways(links.filter("a <> b")), "links")
+    if both.isEmpty():
         return labels
-    moved = components(links)
+    moved = _spread(both)
     tops = moved.select(F.col("node").alias("label"), F.col("label").alias("_top"))
     old = probe_join(labels, tops, ["label"], "left").select("node", F.coalesce("_top", "label").alias("label"))
     return keep(old.union(moved.join(labels, "node", "left_anti").select("node", "label")), "labels")
@@ -313,12 +322,16 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return keep(lookup_join(members, split.filter("x <> y").select("key"), ["key"]), "open-buckets")
 
 
-def _leaders(members: DataFrame, popular: DataFrame | None, turn: int) -> DataFrame:
-    """One member of each bucket: the one in most candidate pairs, or one by chance."""
-    ranked = members if popular is None else lookup_join(members, popular, ["node"])
-    rank = F.xxhash64(F.lit(turn), "key", "node") if popular is None else F.col("_popular")
-    chosen = ranked.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "weight", "base", "more", "label")).alias("_l"))
-    return chosen.select("key", *[F.col(f"_l.{c}").alias(f"_{c}") for c in ("node", "weight", "base", "more", "label")])
+def _leaders(members: DataFrame, popular: DataFrame, chances: int = 0) -> DataFrame:
+    """Of each bucket the member in most candidate pairs, and as many by chance as ``chances`` says, all in one shuffle."""
+    ranks = [F.col("_popular"), *(F.xxhash64(F.lit(turn), "node") for turn in range(1, chances + 1))]
+    fields = ("node", "weight", "base", "more", "label")
+    best = [F.max(F.struct(rank.alias("rank"), *fields)).alias(f"_l{i}") for i, rank in enumerate(ranks)]
+    chosen = lookup_join(members, popular, ["node"]).groupBy("key").agg(*best)
+    each = [F.struct(*[F.col(f"_l{i}.{c}").alias(f"_{c}") for c in fields]) for i in range(len(ranks))]
+    if not chances:
+        return chosen.select("key", each[0].alias("_l")).select("key", "_l.*")
+    return chosen.select("key", F.explode(F.array_distinct(F.array(*each))).alias("_l")).select("key", "_l.*")
 
 
 def _pairs(members: DataFrame, others: DataFrame, similarity: tuple[int, int], *also) -> DataFrame:
@@ -340,7 +353,7 @@ def _opened(members: DataFrame, popular: DataFrame, texts: DataFrame, similarity
     """What the members of open buckets share with their base: verified links to it, members by base and shingle beyond it, and
     members by base whose share alone could reach the threshold."""
     num, den = similarity
-    chosen = _leaders(members, popular, 0).select("key", F.col("_node").alias("a"))
+    chosen = _leaders(members, popular).select("key", F.col("_node").alias("a"))
     met = lookup_join(members.select("key", F.col("node").alias("b")), chosen, ["key"]).select("a", "b").distinct()
     schema = "a binary, b binary, weight long, base long, light boolean, linked boolean, shingles array<long>, extras array<long>"
     found = keep(_with_texts(met, texts).mapInArrow(_beyond(similarity), schema), "beyond")
@@ -367,23 +380,22 @@ def _linked(shared: DataFrame, texts: DataFrame, similarity: tuple[int, int]) ->
     buckets = shared.select("key", "node", "weight", F.col("met").alias("base"), F.lit(0).cast("long").alias("more"))
     labels = None
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        return _joined(labels, keep(_with_texts(pairs, texts).mapInArrow(_verified(similarity), "a binary, b binary"), "verified"))
+    def verified(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        links = _with_texts(pairs, texts).mapInArrow(_verified(similarity), "a binary, b binary")
+        return _joined(labels, links if known is None else links.union(known))
 
-    for turn in range(LEADER_ROUNDS + 1):  # first the member that shares most, then others by chance
-        members = _labelled(buckets, labels)
-        if labels is not None and members.isEmpty():
-            return labels
-        labels = verified(_pairs(members, _leaders(members, popular if turn == 0 else None, turn), similarity))
+    members = _labelled(buckets, labels)
+    labels = verified(_pairs(members, _leaders(members, popular, CHANCE_LEADERS), similarity))
     members = _labelled(buckets, labels)
     if members.isEmpty():
         return labels
     links, beyond, alone = _opened(members, popular, texts, similarity)
-    labels = _joined(labels, links)
     members = _labelled(beyond, labels)
-    labels = verified(_pairs(members, _leaders(members, popular, 0), similarity))
+    labels = verified(_pairs(members, _leaders(members, popular), similarity), links)
     # What is left is compared one by one.
-    members = _labelled(beyond, labels)
-    alone = _labelled(alone, labels)
-    by_base = _pairs(alone.filter("light"), _others(alone), similarity)
-    return verified(_pairs(members, _others(members), similarity, F.col("_node") < F.col("node")).union(by_base).distinct())
+    whole = beyond.withColumn("light", F.lit(None).cast("boolean")).unionByName(alone)
+    members = _labelled(whole, labels)
+    by_share = members.filter("light is null")
+    by_base = members.filter("light is not null")
+    pairs = _pairs(by_share, _others(by_share), similarity, F.col("_node") < F.col("node"))
+    return verified(pairs.union(_pairs(by_base.filter("light"), _others(by_base), similarity)).distinct())
