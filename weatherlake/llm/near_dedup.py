@@ -8,8 +8,9 @@ with probability equal to their weighted Jaccard similarity.  Points are drawn i
 process ends where it passes the largest value still wanted, so long texts cost little more than one point a shingle.
 
 Equal bags are folded into one node first.  Nodes that share a band are candidates; within a
-bucket they are compared to its leaders, the member in most candidate pairs and one by chance.  Buckets that then still hold several components are opened
-up: with the most common member as base, a pair's overlap is what both share with the base, at most the smaller of
+bucket they are compared to its leaders, the member in most candidate pairs and one by chance.
+Buckets that then still hold several components are opened up: with the most common member as
+base, a pair's overlap is what both share with the base, at most the smaller of
 the two shares, and what they share beyond it.  If neither is lighter than the base and they are not both linked to it,
 the first part falls short of the threshold (a node not linked to the base B shares less than 4/9 of its own and B's
 weight with it), so the pair must share a shingle beyond the base: nodes meet again by base and such a shingle, and of many
