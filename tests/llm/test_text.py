@@ -6,9 +6,11 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from weatherlake.llm import topk
 from weatherlake.llm.bpe import Codec, encode_decode
 from weatherlake.llm.chat import chat_digests, format_chats
 from weatherlake.llm.queries import VOCABULARY, token_digests
@@ -128,3 +130,41 @@ def test_top_k_with_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (50, [0.5])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, top_k(df).collect())) == brute_top([(0, [1.0]), (1, [2.0]), (50, [0.5])], 5, 50)
     assert top_k(df.filter("vec_id < 0")).collect() == []
+
+
+def test_top_k_below_the_range_of_a_long(spark):
+    """A cutoff that stops at the least long cuts nothing off."""
+    rows = [(0, [2.0**40] * 3)] + [(i, [-(2.0**41)] * 3) for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(df).collect())) == [(0, n, n, -(1 << 63)) for n in range(1, 6)]
+
+
+def test_top_k_ships_vectors_once_for_many_queries(spark):
+    """Cells are cogroups, where a block of candidates comes once for 131,072 queries, not joined rows with a copy for 1,024 each."""
+    r = np.random.default_rng(4)
+    rows = [(i, r.normal(0, 0.2, 4).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(df, 2, 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "explode(sequence(0, 2" not in plan and "explode([0,1,2])" not in plan
+    assert found.count() == 6000
+
+
+def test_cells_find_the_best_in_many_blocks():
+    """Phases by blocks give what all totals give, with ties, own ids, repeated ids and integers of all widths."""
+    r = np.random.default_rng(5)
+    for scale, kind in ((100, np.float32), (1 << 22, np.float64), (1 << 40, object)):
+        c = r.integers(-scale, scale, (700, 6)) // (scale // 4) * (scale // 4)
+        ids = r.permutation(np.append(np.arange(690), np.arange(10)))
+        qids, q = np.arange(0, 690, 7), r.integers(-scale, scale, (99, 6))
+        assert topk._kind(6, scale, scale) is kind
+        blocks = [(ids[a : a + 90], c[a : a + 90]) for a in range(0, 700, 90)]
+        totals = q.astype(object) @ c.T.astype(object)
+        best = topk._gathered(qids, q, blocks, 4, kind)
+        cut = best.min(axis=1)
+        who, found, scores = topk._resolved(qids, q, blocks, 4, kind, cut)
+        for i, own in enumerate(qids.tolist()):
+            expected = sorted((-t, j) for t, j in zip(totals[i], ids.tolist()) if j != own)[:4]
+            assert cut[i] <= max(-(1 << 63), -expected[3][0])
+            got = list(zip(scores[who == i].tolist(), found[who == i].tolist()))
+            assert got == [(max(-(1 << 63), min((1 << 63) - 1, -t)), j) for t, j in expected]
