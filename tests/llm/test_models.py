@@ -9,6 +9,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -339,3 +341,55 @@ def test_language_model_keeps_little_on_disk(spark, tmp_path, monkeypatch):
     assert not set(found.inputFiles()) & set(docs.inputFiles())
     assert sorted(f.name.split("-")[0] for f in tmp_path.iterdir()) == ["followers", "seats", "seats"]
     assert found.count() == docs.count()
+
+
+def test_rare_contexts_have_sampled_seatings(spark, monkeypatch):
+    """Scores are those of frequent contexts, also for pairs that no training row has, whichever contexts count as rare."""
+    rng = np.random.default_rng(11)
+    likely = 1 / np.arange(1, 2001)
+    texts = ["w0 " + " ".join(f"w{j}" for j in rng.choice(2000, 60, p=likely / likely.sum())) for _ in range(300)]
+    rows = [(i, t, i % 5 != 0) for i, t in enumerate([*texts, "unseen w1", "w1 unseen"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    scores = []
+    for share in (1_000_000, 1):  # every context is frequent, every one but the start is rare
+        monkeypatch.setattr(language_model, "CONTEXT_SHARE", share)
+        found = {r.doc_id: r for r in score_documents(df, F.col("train")).collect()}
+        scores.append(np.array([found[i].score / found[i].n_tokens for i in range(len(rows))]))
+    assert np.abs(scores[0] - scores[1]).mean() < 0.006
+
+
+def test_drawn_tables_follow_the_process_with_a_step():
+    """As more tables open in a small restaurant, another one weighs more."""
+    rng = np.random.default_rng(12)
+    a, b, d = 0.7, 0.5, 0.4
+    tables = TableCounts(d).draw(np.full(40_000, 3), np.full(40_000, a), rng, np.full(40_000, b))
+    weights = np.array([a * (1 - d) * (2 - d), 3 * a * (a + b) * (1 - d), a * (a + b) * (a + 2 * b)])
+    assert np.abs(np.bincount(tables, minlength=4)[1:] / 40_000 - weights / weights.sum()).max() < 0.01
+
+
+def test_groups_sum_the_tables_of_rare_contexts():
+    """Contexts 5, 9 and 1 << 63 of two shards in two groups: words behind each, and tables beyond one for each word."""
+    asks = {
+        0: ([5, 9, 1 << 63], [0, 0, 1, 2], [3, 1, 2, 1]),  # contexts; of each pair the context's number and the customers
+        1: ([9, 1 << 63], [0, 1], [2, 2]),
+    }
+    rows = [
+        {"shard": s, "rare_kinds": _binary(np.array(c, np.uint64)), "rare_number": _pack(np.array(n)), "rare_count": _pack(np.array(k))}
+        for s, (c, n, k) in asks.items()
+    ]
+    kinds = pa.schema([("shard", pa.int32()), ("rare_kinds", pa.binary()), ("rare_number", pa.binary()), ("rare_count", pa.binary())])
+    asked = pa.Table.from_batches(language_model._asked(2)([pa.RecordBatch.from_pylist(rows, schema=kinds)]))
+    sent = {(0, 0): [4, 5], (1, 0): [7], (1, 1): [1]}  # by shard and group, of contexts behind several of a word
+    names = {"shard": pa.int32(), "origin": pa.int32(), "extra": pa.list_(pa.binary())}
+    above, extra = {}, {}
+    for group in (0, 1):
+        key = (pa.scalar(group, pa.int32()),)
+        told = language_model._answered(2)(key, asked.filter(pc.equal(asked.column("shard"), group)))
+        links = told.filter(pc.or_(pc.is_valid(told.column("links")), pc.is_valid(told.column("every"))))
+        for final, out in ((False, above), (True, extra)):
+            rows = [{"shard": g, "origin": s, "extra": [_pack(np.array(x))] * (language_model.SAMPLES if final else 1)} for (s, g), x in sent.items() if g == group]
+            found = language_model._summed_tables(final)(key, pa.Table.from_pylist(rows, schema=pa.schema(names.items())), links)
+            out |= {(r["shard"], group): [language_model._unpack(x).tolist() for x in r["extra"]] for r in found.to_pylist()}
+    # Different words behind 5: 2, behind 9: 1 and 1, behind 1 << 63: 1 and 1.
+    assert above == {(0, 0): [[2 + 4, 2 + 5 + 7]], (1, 0): [[2 + 5 + 7]], (1, 1): [[2 + 1]]}
+    assert extra == {(0, 0): [[4, 12]] * 3, (0, 1): [[1]] * 3, (1, 0): [[12]] * 3, (1, 1): [[1]] * 3}
