@@ -140,7 +140,7 @@ def test_top_k_below_the_range_of_a_long(spark):
 
 
 def test_top_k_ships_vectors_once_for_many_queries(spark):
-    """Cells are cogroups, where a block of candidates comes once for 131,072 queries, not joined rows with a copy for 1,024 each."""
+    """Cells are cogroups, where a block of candidates comes once for 524,288 queries, not joined rows with a copy for 1,024 each."""
     r = np.random.default_rng(4)
     rows = [(i, r.normal(0, 0.2, 4).tolist()) for i in range(3000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

@@ -19,13 +19,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from weatherlake.llm.common import keep
+from weatherlake.llm.common import keep, shuffles_dropped
 
 LISTS = 2
 QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 2048
 COMPONENTS = 1 << 18  # of a block at most, or nearly, if it has more than one vector
-GROUP, LANE = 32, 128  # blocks of queries and of candidates in a cell
+GROUP, LANE = 128, 256  # blocks of queries and of candidates in a cell
 LANES = 64  # so many lanes at least, if they have LEAST candidates each
 LEAST = 1 << 14
 TILE = 512  # queries that meet a block of candidates at once
@@ -89,10 +89,14 @@ def _pack_queries(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return packed.set_column(1, "number", pa.array([key[0].as_py()] * packed.num_rows, pa.int64()))
 
 
-def _vectors(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and integer components of a block."""
-    parts = np.frombuffer(row["parts"], dtype=f"i{row['width']}").reshape(row["n"], row["dims"])
-    return np.frombuffer(row["ids"], dtype=np.int64), parts
+def _vectors(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids and integer components of each block, not copied."""
+    facts = table.select(["n", "dims", "width"]).to_pylist()
+    ids, parts = (table.column(c) for c in ("ids", "parts"))
+    return [
+        (np.frombuffer(i.as_buffer(), dtype=np.int64), np.frombuffer(p.as_buffer(), dtype=f"i{f['width']}").reshape(f["n"], f["dims"]))
+        for f, i, p in zip(facts, ids, parts)
+    ]
 
 
 def _largest(parts: np.ndarray) -> float:
@@ -219,11 +223,11 @@ def _cells(k: int, cut: bool):
     """Phase 1 of a cell, or phases 2 and 3 where the queries bring their cutoffs."""
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        blocks = [_vectors(r) for r in right.to_pylist()]
+        blocks = _vectors(right)
         most = max([0.0, *(_largest(c) for _, c in blocks)])
         out = []
-        for row in left.to_pylist() if blocks else []:
-            qids, q = _vectors(row)
+        bare = left.drop_columns(["ids", "parts"]).to_pylist()
+        for row, (qids, q) in zip(bare, _vectors(left)) if blocks else []:
             kind = _kind(row["dims"], _largest(q), most)
             if cut:
                 who, ids, totals = _resolved(qids, q, blocks, k, kind, np.frombuffer(row["cuts"], dtype=np.int64))
@@ -287,7 +291,9 @@ def top_k(
         return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInArrow(_cells(k, cut), schema)
 
     gathered = cells(queries, False, "dims int, number long, totals binary")
-    cutoffs = gathered.groupBy("dims", "number").applyInArrow(_cutoffs(k), "dims int, number long, cuts binary")
+    with shuffles_dropped(df.sparkSession):  # the vectors shuffled for the first phase go before the second
+        cutoffs = gathered.groupBy("dims", "number").applyInArrow(_cutoffs(k), "dims int, number long, cuts binary")
+        cutoffs = keep(cutoffs, "cutoffs")
     found = cells(queries.join(cutoffs, ["dims", "number"]), True, "query_id long, vec_id long, score long")
     by_score = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
